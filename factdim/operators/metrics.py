@@ -53,7 +53,8 @@ def engagement(
     )
     lo, hi = daily.select(F.min("_p")).scalar(), daily.select(F.max("_p")).scalar()
     after = F.lead("_p").over(Window.partitionBy(key).orderBy("_p"))
-    p, until = F.col("_p"), F.least(after, F.col("_p") + window)
+    daily = daily.withColumn("_until", F.least(after, F.col("_p") + window))
+    p, until = F.col("_p"), F.col("_until")
     columns = ["dau", "_events", "_change"]
 
     def values(dau, events_, change) -> list[Column]:

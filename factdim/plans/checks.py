@@ -68,7 +68,7 @@ seen AS (
 WEB = f"""
 web AS (
   SELECT '10.0.0.' || (user_id % 5) AS ip, {_HOST_LIST}[user_id % 3 + 1] AS host,
-         epoch_ms(ts) AS ts
+         epoch_us(ts) // 1000 AS ts
   FROM events)"""
 
 MATCH_TABLES = """
@@ -414,7 +414,7 @@ LEFT JOIN maps p ON m.mapid = p.mapid GROUP BY p.mapid, p.name""",
     "sessions_stream": f"""
 WITH {_SESSIONS}
 SELECT * FROM closed
-WHERE session_end <= (SELECT max(epoch_ms(ts)) FROM web) - INTERVAL 10 SECOND""",
+WHERE session_end <= (SELECT epoch_ms(max(ts)) FROM web) - INTERVAL 10 SECOND""",
     "session_stats": f"""
 WITH {_SESSIONS}
 SELECT coalesce(host, 'ALL') AS host, count(*) AS sessions,
@@ -470,7 +470,7 @@ WITH newest AS (
   UNION ALL SELECT 'orders', max(o_orderdate) FROM orders
   UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem)
 SELECT table_name, latest,
-       CAST(floor((epoch_ms(TIMESTAMP '2024-02-01 06:00:00') - epoch_ms(latest)) / 60000)
+       CAST(floor((epoch_ms(TIMESTAMP '2024-02-01 06:00:00') - epoch_us(latest) // 1000) / 60000)
             AS BIGINT) AS lag_minutes
 FROM newest""",
     "unit_profit": f"SELECT l_orderkey, l_linenumber, {_CENTS} AS profit_cents FROM lineitem",
