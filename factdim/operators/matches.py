@@ -29,19 +29,18 @@ def match_fact(
 ) -> DataFrame:
     """Match x player x medal rows with playlist, map and medal names (all players kept).
 
-    The two name tables are broadcast after a size check; the large tables join on ``match_id``
-    first, so that the medal join can reuse the placement.
+    Medals join first, on match and player, which spreads a match with very many rows over its
+    players; adaptive execution splits it for the join with its one row in ``matches``.  The two
+    name tables are broadcast after a size check.
     """
-    details = match_details.select(
-        "match_id", F.col("player_gamertag").alias("player_gamertag"), _kills().alias("kills")
-    )
+    details = match_details.select("match_id", "player_gamertag", _kills().alias("kills"))
     match_side = matches.select("match_id", "playlist_id", F.col("mapid").alias("_mapid"))
     earned = medals_matches_players.select("match_id", "player_gamertag", "medal_id")
     medal_names = medals.select("medal_id", F.col("name").alias("medal_name"))
     map_names = maps.select(F.col("mapid").alias("mapid"), F.col("name").alias("map_name"))
     return (
-        details.join(match_side, "match_id", "left")
-        .join(earned, ["match_id", "player_gamertag"], "left")
+        details.join(earned, ["match_id", "player_gamertag"], "left")
+        .join(match_side, "match_id", "left")
         .join(checked_broadcast(medal_names), "medal_id", "left")
         .join(checked_broadcast(map_names), F.col("_mapid") == F.col("mapid"), "left")
         .select(
@@ -62,9 +61,11 @@ def bucketed_match_join(
     earned: DataFrame,
     player_keys: Sequence[str] = ("player_gamertag",),
 ) -> DataFrame:
-    """Inner join of three tables bucketed on ``match_id``: no shuffle of either side.
+    """Inner join of three tables bucketed on ``match_id``; open them in ``bucket_join_session``
+    and no side is shuffled.
 
-    Medals belong to the player that earned them.  ``player_keys=()`` joins on the match alone,
+    A bucket is read by one task, so this suits tables whose matches are of similar size; with a
+    match of extreme size use :func:`match_fact`.  Medals belong to the player that earned them.  ``player_keys=()`` joins on the match alone,
     which pairs every player of a match with every medal of the match.
     """
     medal_side = earned

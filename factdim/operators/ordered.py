@@ -1,9 +1,9 @@
 """Running totals and rolling sums that survive a hot key.
 
-A plain window puts every row of a key into one task.  Where a key may hold a large share of the
-data, the ordering column is cut into ranges of about equal row counts.  Each (key, range) is
-summed by its own task, and the totals of the earlier ranges, a table of at most keys x ranges
-rows, are added afterwards.  The result equals the plain window exactly, whatever the cuts.
+A plain window puts every row of a key into one task.  Keys that hold too many rows are found by
+counting; the ordering column of their rows is cut into ranges of about equal row counts.  Each
+(hot key, range) is summed by its own task, and the totals of the earlier ranges, one row per hot
+key and range, are added afterwards.  The result equals the plain window exactly, whatever the cuts.
 """
 
 from __future__ import annotations
@@ -11,33 +11,59 @@ from __future__ import annotations
 import datetime as dt
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_CHUNK = 4_000_000
 MAX_CHUNKS = 8192
+MAX_HOT_KEYS = 10_000
 
 
-def order_cuts(
+@dataclass(frozen=True)
+class Cuts:
+    """Hot keys (a small table of key values) and the points at which to cut their rows."""
+
+    hot: DataFrame
+    values: Sequence
+    rows_per_chunk: int
+
+
+def find_cuts(
     df: DataFrame,
+    keys: Sequence[str],
     order: str,
     rows_per_chunk: int = ROWS_PER_CHUNK,
     max_chunks: int = MAX_CHUNKS,
-) -> list:
-    """Cut points of ``order`` for ranges of about ``rows_per_chunk`` rows; none if ``df`` is small.
+) -> Cuts | None:
+    """Cuts for the keys with more than ``rows_per_chunk`` rows in ``df``; None if there are none.
 
-    Only counts and quantiles leave the cluster (at most ``max_chunks`` values).  Pass the stored
-    table the jobs start from: its count needs no column at all, its quantiles only one.
+    A small ``df`` costs one count.  A key is hot when it holds more than ``rows_per_chunk`` rows
+    and more than 1/``MAX_HOT_KEYS`` of all rows, so fewer than ``MAX_HOT_KEYS`` keys and at most
+    ``max_chunks`` cut points ever reach the driver.  ``df`` may be the rows before a reduction:
+    then the counts are upper bounds.
     """
-    chunks = min(max_chunks, math.ceil(df.count() / rows_per_chunk))
-    if chunks <= 1:
-        return []
+    total = df.count()
+    if total <= rows_per_chunk:
+        return None
+    threshold = max(rows_per_chunk, total // MAX_HOT_KEYS)
+    keyed = df.dropna(subset=list(keys))
+    counts = (
+        keyed.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > threshold)
+    ).collect()
+    if not counts:
+        return None
+    schema = keyed.select(*keys).schema
+    hot = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in counts], schema)
+    chunks = min(max_chunks, math.ceil(sum(r["_rows"] for r in counts) / rows_per_chunk))
     probabilities = [i / chunks for i in range(1, chunks)]
-    cuts = df.select(
-        F.percentile_approx(order, probabilities, max(10_000, 20 * chunks))
-    ).first()[0]
-    return sorted(set(cuts or []))
+    values = (
+        keyed.join(F.broadcast(hot), list(keys), "left_semi")
+        .select(F.percentile_approx(order, probabilities, max(10_000, 20 * chunks)))
+        .first()[0]
+    )
+    return Cuts(hot, sorted(set(values or [])), rows_per_chunk)
 
 
 def chunk_of(order: Column, cuts: Sequence) -> Column:
@@ -59,36 +85,45 @@ def _literal(value) -> Column:
     return F.lit(value)
 
 
+def _ascending(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in columns]
+
+
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     totals: Mapping[str, Column],
-    cuts: Sequence = (),
+    cuts: Cuts | None = None,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """Add inclusive running sums per key along (``order``, ``tie_break``), NULLs first.
 
     ``keys`` must not be NULL.  ``order`` with ``tie_break`` should be unique per key.
     """
-    by = [F.col(order).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in tie_break]]
-    if not cuts:
-        w = Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    by = _ascending([order, *tie_break])
+    upto_here = (Window.unboundedPreceding, Window.currentRow)
+    if cuts is None:
+        w = Window.partitionBy(*keys).orderBy(*by).rowsBetween(*upto_here)
         return df.select("*", *[F.sum(c).over(w).alias(n) for n, c in totals.items()])
 
     place = [*keys, "_chunk"]
-    chunked = df.withColumn("_chunk", chunk_of(F.col(order), cuts))
-    inside = Window.partitionBy(*place).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
-    before = (
-        Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    hot = F.broadcast(cuts.hot.withColumn("_hot", F.lit(True)))
+    chunked = df.join(hot, list(keys), "left").withColumn(
+        "_chunk", F.when(F.col("_hot"), chunk_of(F.col(order), cuts.values)).otherwise(0)
     )
+    inside = Window.partitionBy(*place).orderBy(*by).rowsBetween(*upto_here)
+    local = chunked.select(
+        "*", *[F.sum(c).over(inside).alias(f"_local_{n}") for n, c in totals.items()]
+    )
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        chunked.groupBy(*place)
+        chunked.filter("_hot")
+        .groupBy(*place)
         .agg(*[F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()])
         .select(*place, *[F.sum(f"_sum_{n}").over(before).alias(f"_before_{n}") for n in totals])
     )
-    local = chunked.select("*", *[F.sum(c).over(inside).alias(f"_local_{n}") for n, c in totals.items()])
-    return local.join(offsets, place).select(
+    return local.join(offsets, place, "left").select(
         *df.columns,
         *[
             (F.col(f"_local_{n}") + F.coalesce(F.col(f"_before_{n}"), F.lit(0))).alias(n)
@@ -104,9 +139,8 @@ def rolling_sum(
     value: Column,
     rows: int,
     name: str,
-    cuts: Sequence = (),
+    cuts: Cuts | None = None,
     tie_break: Sequence[str] = (),
-    block_rows: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Sum of ``value`` over the current and the ``rows`` - 1 previous rows of the key.
 
@@ -115,12 +149,11 @@ def rolling_sum(
     frames of the first rows.
     """
     frame = (-(rows - 1), 0)
-    if not cuts:
-        by = [F.col(c).asc_nulls_first() for c in (order, *tie_break)]
-        w = Window.partitionBy(*keys).orderBy(*by).rowsBetween(*frame)
+    if cuts is None:
+        w = Window.partitionBy(*keys).orderBy(*_ascending([order, *tie_break])).rowsBetween(*frame)
         return df.select("*", F.sum(value).over(w).alias(name))
 
-    block_rows = max(block_rows, rows)
+    block_rows = max(cuts.rows_per_chunk, rows)
     placed = running_totals(
         df.withColumn("_value", value), keys, order, {"_pos": F.lit(1)}, cuts, tie_break
     )

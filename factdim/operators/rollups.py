@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import rolling_sum, running_totals
+from .ordered import Cuts, rolling_sum, running_totals
 from .relational import ordered_desc, top_with_ties
 
 
@@ -136,18 +136,16 @@ def max_wins_in_stretch(
     games: DataFrame,
     stretch: int = 90,
     order: str = "game_id",
-    cuts: Sequence = (),
-    block_rows: int | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Most wins of each team in any ``stretch`` consecutive games (shorter starts count).
 
-    A team has few rows to share its key with, so pass ``cuts`` from ``order_cuts`` on large data.
+    There are few teams, so on large data pass ``cuts`` from ``find_cuts``.
     Games are taken as two-sided: one row, and at most one win, per team and game.
     """
     outcomes = team_game_outcomes(games)
-    extra = {} if block_rows is None else {"block_rows": block_rows}
     rolled = rolling_sum(
-        outcomes, ["team_abbreviation"], order, F.col("wins"), stretch, "_wins", cuts, **extra
+        outcomes, ["team_abbreviation"], order, F.col("wins"), stretch, "_wins", cuts
     )
     best = rolled.groupBy("team_abbreviation").agg(
         F.max("_wins").alias(f"max_wins_in_{stretch}_games")
@@ -160,7 +158,7 @@ def longest_streak(
     predicate: Column | None = None,
     entity: str = "player_name",
     order: str = "game_id",
-    cuts: Sequence = (),
+    cuts: Cuts | None = None,
     names: tuple[str, str, str] = (
         "games_in_row_over_10",
         "streak_start_game",

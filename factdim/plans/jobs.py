@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from .. import operators as op
 from ..functions import flat_text
-from ..session import configure, scratch_dir
+from ..session import bucket_join_session, configure, scratch_dir
 from ..sinks import compare_layouts, upsert_partitions, write_bucketed, write_period
 from ..sources.practice import FIRST_DAY, HOSTS, LAST_DAY, LAST_YEAR, Practice
 from ..streaming import latest_sessions, sessionize_stream, start_session_stream
@@ -98,15 +98,16 @@ def top_team_wins(p: Practice) -> DataFrame:
 
 @job
 def max_wins_in_stretch(p: Practice) -> DataFrame:
-    cuts = op.order_cuts(p.table("lineitem"), "l_orderkey")
-    return op.max_wins_in_stretch(p.game_details(two_teams=True), 90, cuts=cuts)
+    games = p.game_details(two_teams=True)
+    cuts = op.find_cuts(games, ["team_abbreviation"], "game_id")
+    return op.max_wins_in_stretch(games, 90, cuts=cuts)
 
 
 def _streaks(p: Practice, games: DataFrame) -> DataFrame:
     one_row_per_game = op.dedup(
         games.select("game_id", "player_name", "pts"), ["game_id", "player_name"]
     )
-    cuts = op.order_cuts(p.table("lineitem"), "l_orderkey")
+    cuts = op.find_cuts(games, ["player_name"], "game_id")
     return op.longest_streak(one_row_per_game, F.col("pts") > 10, cuts=cuts)
 
 
@@ -282,11 +283,10 @@ def bucketed_match_join(p: Practice) -> DataFrame:
         "matches": p.matches().withColumn("completion_date", F.to_date("completion_date")),
         "medals_matches_players": p.medals_matches_players(),
     }
-    stored = [
+    for name, df in tables.items():
         write_bucketed(df, f"{name}_{suffix}", 16, "match_id", f"{folder}/{name}")
-        for name, df in tables.items()
-    ]
-    return op.bucketed_match_join(*stored)
+    reader = bucket_join_session(p.spark)
+    return op.bucketed_match_join(*[reader.table(f"{name}_{suffix}") for name in tables])
 
 
 @job

@@ -16,8 +16,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even when the split costs one more shuffle further up
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # a join on (a, b) may reuse data already placed by a; skew is left to the two settings above
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # merge the sessions of one map task before they are shuffled to the state store
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
@@ -47,6 +45,18 @@ def build_session(
     return configure(builder.getOrCreate())
 
 
+def bucket_join_session(spark: SparkSession) -> SparkSession:
+    """A sibling session (same tables) in which a join on (a, b) may use buckets on a alone.
+
+    The setting is kept away from other jobs: there, placing rows by part of the join key would
+    pile up the rows of a hot value that the full key spreads.
+    """
+    sibling = configure(spark.newSession())
+    sibling.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    sibling.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return sibling
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named in ``spark.checkpoint.dir``.
 

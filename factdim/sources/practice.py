@@ -144,7 +144,7 @@ class Practice:
     def matches(self) -> DataFrame:
         return self.table("orders").select(
             F.col("o_orderkey").cast("string").alias("match_id"),
-            (F.col("o_custkey") % 25).cast("string").alias("mapid"),
+            (F.col("o_custkey") % 28).cast("string").alias("mapid"),
             F.col("o_orderpriority").alias("playlist_id"),
             F.col("o_orderdate").alias("completion_date"),
         )
@@ -156,24 +156,18 @@ class Practice:
             .select(
                 F.col("l_orderkey").cast("string").alias("match_id"),
                 F.col("l_suppkey").cast("string").alias("player_gamertag"),
-                (F.col("l_partkey") % 50).cast("string").alias("medal_id"),
+                F.col("l_partkey").cast("string").alias("medal_id"),
             )
         )
 
     def medals(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return (
-            self.table("part")
-            .filter(key < 50)
-            .select(
-                key.cast("string").alias("medal_id"),
-                F.when(key == 7, DEFAULT_MEDAL).otherwise(F.col("p_name")).alias("name"),
-            )
+        return self.table("part").select(
+            F.col("p_partkey").cast("string").alias("medal_id"),
+            F.when(F.col("p_size") == 7, DEFAULT_MEDAL).otherwise(F.col("p_name")).alias("name"),
         )
 
     def maps(self) -> DataFrame:
-        return (
-            self.table("nation")
-            .filter(F.col("n_nationkey") < 20)
-            .select(F.col("n_nationkey").cast("string").alias("mapid"), F.col("n_name").alias("name"))
+        """Matches also name maps 25 to 27, which are unknown here."""
+        return self.table("nation").select(
+            F.col("n_nationkey").cast("string").alias("mapid"), F.col("n_name").alias("name")
         )
