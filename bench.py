@@ -38,6 +38,7 @@ def spark_times() -> dict[str, float]:
         {
             "spark.sql.shuffle.partitions": CPUS,
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
             "spark.sql.warehouse.dir": "/tmp/factdim-bench-warehouse",
         },

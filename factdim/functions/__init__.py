@@ -1,7 +1,7 @@
 """Column functions: every one returns a built-in Catalyst expression."""
 
 from .arrays import empty_array, fit_to, flat_text, zeros
-from .bits import bit_text, day_bit, days_in_mask, last_days_mask
+from .bits import bit_text, day_bit, days_in_words, last_days_mask
 from .scalars import (
     bucket_of,
     from_epoch_ms,
@@ -11,13 +11,14 @@ from .scalars import (
     quality_class,
     session_id,
     to_epoch_ms,
+    whole_number,
 )
 
 __all__ = [
     "bit_text",
     "bucket_of",
     "day_bit",
-    "days_in_mask",
+    "days_in_words",
     "empty_array",
     "fit_to",
     "flat_text",
@@ -29,5 +30,6 @@ __all__ = [
     "quality_class",
     "session_id",
     "to_epoch_ms",
+    "whole_number",
     "zeros",
 ]

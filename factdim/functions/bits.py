@@ -27,8 +27,12 @@ def last_days_mask(days: int, width: int = 32) -> int:
     return ((1 << days) - 1) << (width - days)
 
 
-def days_in_mask(mask: Column, start: Column, n_days: int) -> list[Column]:
-    """One DATE (or NULL) per bit of ``mask``; bit i stands for ``start`` + i days."""
-    return [
-        F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.date_add(start, i)) for i in range(n_days)
-    ]
+def days_in_words(words: Column, start: Column, n_days: int) -> Column:
+    """array<date> of the set bits: bit i of word w stands for ``start`` + w * 63 + i days."""
+
+    def is_set(day: Column) -> Column:
+        word = F.get(words, (day / WORD_DAYS).cast("int"))
+        return F.call_function("shiftright", word, day % WORD_DAYS).bitwiseAND(F.lit(1)) == 1
+
+    days = F.filter(F.sequence(F.lit(0), F.lit(n_days - 1)), is_set)
+    return F.transform(days, lambda day: F.date_add(start, day))

@@ -25,6 +25,14 @@ def quality_class(average: Column, strict: bool = False) -> Column:
     return F.when(average.isNotNull(), chain.otherwise(QUALITY[0]))
 
 
+def whole_number(text: Column, kind: str = "int") -> Column:
+    """Text as an integer type, NULL where it is none.
+
+    The pattern keeps plainly wrong text away from ``try_cast``, which is slow when it fails.
+    """
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast(kind))
+
+
 def on_day(ts: Column, day: dt.date) -> Column:
     """Rows of one calendar day as a range test, which parquet scans can push down."""
     return (ts >= F.lit(day)) & (ts < F.lit(day + dt.timedelta(days=1)))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import days_in_mask, empty_array, on_day, quality_class
+from ..functions import days_in_words, empty_array, on_day, quality_class
 from ..functions.bits import WORD_DAYS
 from ..schemas import FILM_STATS
 
@@ -151,25 +151,21 @@ def backfill_dates(
     """
     n_days = (end - start).days + 1
     offset = F.datediff(F.col(ts_col), F.lit(start))
-    words, width = [], {}
+    words = []
     for first in range(0, n_days, WORD_DAYS):
-        size = min(WORD_DAYS, n_days - first)
-        inside = offset.between(first, first + size - 1)
+        inside = offset.between(first, first + WORD_DAYS - 1)
         shift = F.when(inside, offset - first).otherwise(0)
         bit = F.when(inside, F.call_function("shiftleft", F.lit(1).cast("bigint"), shift))
-        name = f"_days_{first}"
-        words.append(F.bit_or(bit).alias(name))
-        width[name] = (first, size)
+        words.append(F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")))
     in_range = (F.col(ts_col) >= F.lit(start)) & (F.col(ts_col) < F.lit(end + dt.timedelta(days=1)))
-    masks = events.filter(in_range).dropna(subset=list(keys)).groupBy(*keys).agg(*words)
-    days = F.array(
-        *[
-            day
-            for name, (first, size) in width.items()
-            for day in days_in_mask(F.col(name), F.lit(start + dt.timedelta(days=first)), size)
-        ]
+    masks = (
+        events.filter(in_range)
+        .dropna(subset=list(keys))
+        .groupBy(*keys)
+        .agg(F.array(*words).alias("_words"))
     )
-    return masks.select(*keys, F.array_compact(days).alias(list_col), F.lit(end).alias("date"))
+    days = days_in_words(F.col("_words"), F.lit(start), n_days)
+    return masks.select(*keys, days.alias(list_col), F.lit(end).alias("date"))
 
 
 def as_date_map(lists: DataFrame, key: str, map_key: str, list_col: str, name: str) -> DataFrame:

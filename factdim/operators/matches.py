@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import whole_number
 from .relational import checked_broadcast, ordered_desc
 
 
 def _kills(column: str = "player_total_kills") -> Column:
     """Kills as a number; text that is not a number becomes NULL."""
-    return F.col(column).try_cast("int")
+    return whole_number(F.col(column))
 
 
 def with_completion_day(matches: DataFrame) -> DataFrame:

@@ -74,13 +74,18 @@ def monthly_array_backfill(
         end = first.replace(day=calendar.monthrange(first.year, first.month)[1])
     in_range = (F.col(ts_col) >= F.lit(first)) & (F.col(ts_col) < F.lit(end + dt.timedelta(days=1)))
     daily = daily_activity(events.filter(in_range), keys, ts_col, visitor)
-    day, days = F.dayofmonth("date"), range(1, end.day + 1)
+    slot = F.struct(F.dayofmonth("date"), F.struct("hits", "visitors"))
+    by_day = daily.groupBy(*keys).agg(F.map_from_entries(F.collect_list(slot)).alias("_days"))
 
     def slots(value: str, name: str):
-        per_day = [F.coalesce(F.sum(F.when(day == d, F.col(value))), F.lit(0)) for d in days]
-        return F.array(*per_day).cast("array<bigint>").alias(name)
+        filled = F.transform(
+            F.sequence(F.lit(1), F.lit(end.day)),
+            lambda day: F.coalesce(F.col("_days")[day][value], F.lit(0).cast("bigint")),
+        )
+        return filled.alias(name)
 
-    return daily.groupBy(*keys).agg(
+    return by_day.select(
+        *keys,
         F.lit(first).alias("month"),
         slots("hits", "hit_array"),
         slots("visitors", "unique_visitors"),

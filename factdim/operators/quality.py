@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import whole_number
+
 
 def consecutive_drop_alert(
     daily: DataFrame,
@@ -68,6 +70,12 @@ def volume_drop(
     )
 
 
+def _try_cast(value: Column, actual: T.DataType, expected: T.DataType) -> Column:
+    if isinstance(actual, T.StringType) and isinstance(expected, T.IntegralType):
+        return whole_number(value, expected.simpleString())
+    return value.try_cast(expected)
+
+
 def schema_conformance(df: DataFrame, expected: T.StructType) -> DataFrame:
     """Per expected column: present, types, share of NULLs, share of values that do not cast.
 
@@ -83,7 +91,7 @@ def schema_conformance(df: DataFrame, expected: T.StructType) -> DataFrame:
         found = field.name in actual
         if found:
             value = F.col(f"`{field.name}`")
-            cast = value.try_cast(field.dataType)
+            cast = _try_cast(value, actual[field.name], field.dataType)
             aggregates += [
                 F.count_if(value.isNull()).alias(f"_null{i}"),
                 F.count_if(value.isNotNull() & cast.isNull()).alias(f"_bad{i}"),

@@ -19,19 +19,16 @@ def dedup(
 ) -> DataFrame:
     """One whole row per key: the first (or last) by ``order_cols``, then by all other columns.
 
-    The survivor is a ``min``/``max`` of a struct, so copies of a hot key are already merged
-    inside each map task and no task ever holds all rows of a key.  NULL keys form a group.
+    NULLs come first, NULL keys form a group.  Spark keeps only the best row of each key in every
+    map task (window group limit), so the copies of a hot key never meet in one task.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order_cols]
-    ranked = F.struct(*[F.col(c) for c in [*order_cols, *rest]])
-    if not rest and not order_cols:
-        return df.select(*keys).distinct()
-    pick = F.min if keep == "first" else F.max
-    return (
-        df.groupBy(*keys)
-        .agg(pick(ranked).alias("_row"))
-        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
-    )
+    columns = [*order_cols, *[c for c in df.columns if c not in keys and c not in order_cols]]
+    if not columns:
+        return df.distinct()
+    first = keep == "first"
+    by = [F.col(c).asc_nulls_first() if first else F.col(c).desc_nulls_last() for c in columns]
+    w = Window.partitionBy(*keys).orderBy(*by)
+    return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
 
 
 def top_with_ties(df: DataFrame, measure: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -73,15 +73,17 @@ def scd2_increment(
     label: str | None = "actor",
     start: str = "start_year",
     end: str = "end_year",
+    last_period: int | None = None,
 ) -> DataFrame:
     """History as of ``year`` from the history as of ``year`` - 1 and the snapshot of ``year``.
 
     Only runs that reached ``year`` - 1 take part in the join, one row per key on either side:
     unchanged runs grow by a period, changed ones stay closed beside a new run, new keys open a
     run, keys without a snapshot stay closed.  Running a year again gives the same rows; a history
-    that is neither empty nor one (or zero) periods behind is refused.
+    that is neither empty nor one (or zero) periods behind is refused.  Where the history ends is
+    looked up, which is cheap in a table partitioned by ``period``, unless ``last_period`` tells.
     """
-    last = history.select(F.max(period)).first()[0]
+    last = last_period or history.select(F.max(period)).first()[0]
     if last is not None and last not in (year - 1, year):
         raise ValueError(f"history ends at {last}, cannot add {year}")
     names = [label] if label else []

@@ -150,7 +150,7 @@ def actors_scd2_backfill(p: Practice) -> DataFrame:
 def actors_scd2_increment(p: Practice) -> DataFrame:
     status = op.backfill_actor_status(p.actor_films())
     history = op.scd2_backfill(status, as_of=LAST_YEAR - 1)
-    return op.scd2_increment(history, status, LAST_YEAR)
+    return op.scd2_increment(history, status, LAST_YEAR, last_period=LAST_YEAR - 1)
 
 
 # --- site activity ----------------------------------------------------------------------------
@@ -316,8 +316,13 @@ def top_killers_preview(p: Practice) -> DataFrame:
 
 @job
 def layout_experiment(p: Practice) -> DataFrame:
-    """Sizes depend on the writer, so this one has no SQL counterpart."""
-    return compare_layouts(match_fact(p), LAYOUTS, scratch_dir(p.spark, "layouts"))
+    """Sizes depend on the writer, so this one has no SQL counterpart.
+
+    The fact is written once and every layout is made from that table.
+    """
+    base = scratch_dir(p.spark, "layouts")
+    match_fact(p).write.parquet(f"{base}/fact")
+    return compare_layouts(p.spark.read.parquet(f"{base}/fact"), LAYOUTS, base)
 
 
 # --- sessions ---------------------------------------------------------------------------------

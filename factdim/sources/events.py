@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import whole_number
+
 # ``ts`` is read as text so that 1697059200000 and "1697059200000" are both accepted.
 _RAW = T.StructType(
     [
@@ -20,7 +22,7 @@ _RAW = T.StructType(
 
 def _required() -> Column:
     present = F.col("ip").isNotNull() & F.col("host").isNotNull()
-    return present & F.col("ts").try_cast("bigint").isNotNull()
+    return present & whole_number(F.col("ts"), "bigint").isNotNull()
 
 
 def _typed(raw: DataFrame) -> DataFrame:
@@ -28,7 +30,7 @@ def _typed(raw: DataFrame) -> DataFrame:
         *[c for c in raw.columns if c not in _RAW.fieldNames()],
         "ip",
         "host",
-        F.col("ts").try_cast("bigint").alias("ts"),
+        whole_number(F.col("ts"), "bigint").alias("ts"),
         F.coalesce("path", F.lit("")).alias("path"),
     )
 

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import to_epoch_ms
 from ..operators.matches import DEFAULT_MEDAL
@@ -22,6 +23,10 @@ def _choice(number, options):
     return F.element_at(F.array(*[F.lit(o) for o in options]), (number % len(options) + 1).cast("int"))
 
 
+# Schemas seen so far: reading a known table again needs no look at its files.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Practice:
     """Views over one folder of practice tables; every view is a lazy projection of a scan."""
 
@@ -30,7 +35,10 @@ class Practice:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # --- dimensional modelling -----------------------------------------------------------
 
