@@ -35,9 +35,7 @@ def player_state(
     axis = activity.select(F.array_sort(F.collect_set(period))).scalar()
     if entities is not None:
         present = present.join(entities.select(key).distinct(), key, "left_semi")
-    placed = present.withColumn("_axis", axis).withColumn(
-        "_at", F.array_position("_axis", F.col(period)).cast("int")
-    )
+    placed = present.select(key, F.array_position(axis, F.col(period)).cast("int").alias("_at"))
     w = Window.partitionBy(key).orderBy("_at")
     before, after = F.lag("_at").over(w), F.lead("_at").over(w)
     active_state = (
@@ -45,10 +43,9 @@ def player_state(
     )
     spans = placed.select(
         key,
-        "_axis",
         "_at",
         active_state.alias("_state"),
-        (F.coalesce(after, F.size("_axis") + 1) - 1).alias("_until"),
+        (F.coalesce(after, F.size(axis) + 1) - 1).alias("_until"),
     )
     at = F.explode(F.sequence("_at", "_until")).alias("_period_at")
     state = (
@@ -57,7 +54,7 @@ def player_state(
         .otherwise(STAYED_RETIRED)
     )
     return spans.select("*", at).select(
-        key, F.element_at("_axis", F.col("_period_at")).alias(period), state.alias(name)
+        key, F.element_at(axis, F.col("_period_at")).alias(period), state.alias(name)
     )
 
 

@@ -143,12 +143,12 @@ def actors_backfill(p: Practice) -> DataFrame:
 
 @job
 def actors_scd2_backfill(p: Practice) -> DataFrame:
-    return op.scd2_backfill(op.backfill_actor_status(p.actor_films()))
+    return op.scd2_backfill(op.backfill_actor_status(p.actor_films()), as_of=LAST_YEAR)
 
 
 @job
 def actors_scd2_increment(p: Practice) -> DataFrame:
-    status = op.backfill_actor_status(p.actor_films())
+    status = op.backfill_actor_status(p.actor_films(), LAST_YEAR)
     history = op.scd2_backfill(status, as_of=LAST_YEAR - 1)
     return op.scd2_increment(history, status, LAST_YEAR, last_period=LAST_YEAR - 1)
 

@@ -114,11 +114,12 @@ class Practice:
     def device_days(self) -> DataFrame:
         """Days on which a user was seen on a browser: (user_id, browser_type, event_time).
 
-        Events are reduced to (user, device, day) before they meet the devices.
+        Events are reduced to (user, device, day) before they meet the devices; the join drops
+        events without a device.
         """
         seen = (
             self.site_events()
-            .dropna(subset=["user_id", "device_id"])
+            .dropna(subset=["user_id"])
             .select("user_id", "device_id", F.to_date("event_time").alias("event_time"))
             .distinct()
         )
