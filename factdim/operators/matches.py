@@ -27,13 +27,20 @@ def match_fact(
     medals_matches_players: DataFrame,
     medals: DataFrame,
     maps: DataFrame,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Match x player x medal rows with playlist, map and medal names (all players kept).
 
     Medals join first, on match and player, which spreads a match with very many rows over its
     players; adaptive execution splits it for the join with its one row in ``matches``.  The two
-    name tables are broadcast after a size check.
+    name tables are broadcast after a size check.  ``partitions`` places the large tables by match
+    beforehand, which pays only if they are reused; by default Spark chooses.
     """
+    if partitions:
+        match_details, matches, medals_matches_players = [
+            t.repartition(partitions, "match_id")
+            for t in (match_details, matches, medals_matches_players)
+        ]
     details = match_details.select("match_id", "player_gamertag", _kills().alias("kills"))
     match_side = matches.select("match_id", "playlist_id", F.col("mapid").alias("_mapid"))
     earned = medals_matches_players.select("match_id", "player_gamertag", "medal_id")

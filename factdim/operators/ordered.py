@@ -99,8 +99,11 @@ def running_totals(
 ) -> DataFrame:
     """Add inclusive running sums per key along (``order``, ``tie_break``), NULLs first.
 
-    ``keys`` must not be NULL.  ``order`` with ``tie_break`` should be unique per key.
+    Rows with a NULL key are left out.  ``order`` with ``tie_break`` should be unique per key.
     """
+    # the same filter on both branches below lets them share the shuffles they start from
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
     by = _ascending([order, *tie_break])
     upto_here = (Window.unboundedPreceding, Window.currentRow)
     if cuts is None:

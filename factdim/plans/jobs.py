@@ -258,7 +258,7 @@ def monthly_array_upsert(p: Practice) -> DataFrame:
     for day in (LAST_DAY - DAY, LAST_DAY, LAST_DAY):
         stored = p.spark.read.parquet(path)
         updates = op.monthly_array_increment(stored, events, keys, day)
-        upsert_partitions(p.spark, path, updates, key, ["month"])
+        upsert_partitions(p.spark, path, updates, key, ["month"], [{"month": FIRST_DAY}])
     stored = p.spark.read.parquet(path).select("host", "month", "hit_array", "unique_visitors")
     return _text(stored, "hit_array", "unique_visitors")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,44 +30,72 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     return target.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates)
 
 
+# A static filter names at most this many partitions; with more, the table is semi-joined.
+MAX_NAMED_PARTITIONS = 1000
+
+
 def upsert_partitions(
     spark: SparkSession,
     path: str,
     updates: DataFrame,
     keys: Sequence[str],
     partition_cols: Sequence[str],
+    touched: Sequence[Mapping] | None = None,
 ) -> None:
     """Upsert into a partitioned parquet table, rewriting only partitions that get updates.
 
     ``partition_cols`` are part of the key, so an update never moves a row between partitions.
-    The touched partitions are pruned from the table by a semi join on their values; old files are
-    replaced when the job commits.
+    ``touched`` names the partitions with updates, e.g. ``[{"month": date(2024, 1, 1)}]``; otherwise
+    they are looked up in ``updates``.  Old files are replaced when the job commits.
     """
     missing = [c for c in partition_cols if c not in keys]
     if missing:
         raise ValueError(f"partition columns {missing} are not part of the key")
     try:
         stored = spark.read.parquet(path)
-    except Exception as error:  # the first load finds no table
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        write_period(updates, path, partition_cols)
+        write_period(updates, path, partition_cols)  # the first load
         return
-    touched = updates.select(*partition_cols).distinct()
-    target = stored.join(touched, list(partition_cols), "left_semi").select(*updates.columns)
-    write_period(upsert(target, updates, keys), path, partition_cols)
+    if touched is None:
+        values = updates.select(*partition_cols).distinct()
+        touched = [r.asDict() for r in values.limit(MAX_NAMED_PARTITIONS + 1).collect()]
+    if len(touched) > MAX_NAMED_PARTITIONS:
+        wanted = updates.select(*partition_cols).distinct()
+        target = stored.join(wanted, list(partition_cols), "left_semi")
+    else:
+        named = F.lit(False)
+        for values in touched:
+            one = F.lit(True)
+            for column in partition_cols:
+                one = one & F.col(column).eqNullSafe(F.lit(values[column]))
+            named = named | one
+        target = stored.filter(named)
+    write_period(upsert(target.select(*updates.columns), updates, keys), path, partition_cols)
 
 
 def write_bucketed(
-    df: DataFrame, table: str, buckets: int, key: str, path: str | None = None, sort: bool = False
+    df: DataFrame,
+    table: str,
+    buckets: int,
+    key: str,
+    path: str | None = None,
+    sort: bool = False,
+    files_per_bucket: int = 1,
 ) -> DataFrame:
     """Save ``df`` as a table bucketed on ``key`` and return the stored table.
 
-    Rows are placed by the bucket key first, so each bucket is one file and not one per task.
+    Rows are placed by the bucket key first, so each bucket is one file and not one per task.  With
+    more ``files_per_bucket`` the rows of a key are also spread by their content, so that the rows
+    of a hot key are written by several tasks.
     """
-    writer = (
-        df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key)
-    )
+    if files_per_bucket == 1:
+        placed = df.repartition(buckets, key)
+    else:
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
+        placed = df.repartition(buckets * files_per_bucket, F.col(key), spread)
+    writer = placed.write.mode("overwrite").format("parquet").bucketBy(buckets, key)
     if sort:
         writer = writer.sortBy(key)
     if path:

@@ -10,6 +10,7 @@ from factdim import schemas
 from factdim.operators import avg_kills_per_game, bucketed_match_join, with_completion_day
 from factdim.plans.inspect import count_nodes, exchanges
 from factdim.session import bucket_join_session, scratch_dir
+from factdim.sinks import tables
 from factdim.sinks import compare_layouts, upsert, upsert_partitions, write_bucketed, write_period
 from factdim.sources import decode_web_events, read_csv, read_table, read_web_events
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ def test_write_period_replaces_only_its_partitions(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [(1, 1), (2, 1), (9, 2)]
 
 
-def test_upsert(spark, tmp_path):
+def test_upsert(spark, tmp_path, monkeypatch):
     old = table(spark, "k int, m int, v string", (1, 1, "a"), (2, 1, "b"), (3, 2, "c"))
     new = table(spark, "k int, m int, v string", (2, 1, "B"), (4, 1, "D"))
     merged = [(1, 1, "a"), (2, 1, "B"), (3, 2, "c"), (4, 1, "D")]
@@ -82,6 +83,11 @@ def test_upsert(spark, tmp_path):
         upsert_partitions(spark, path, new, ["k", "m"], ["m"])
         assert rows(spark.read.parquet(path).select("k", "m", "v")) == merged
     assert sorted(f.name for f in (tmp_path / "u" / "m=2").iterdir()) == untouched
+    upsert_partitions(spark, path, new, ["k", "m"], ["m"], [{"m": 1}])
+    assert rows(spark.read.parquet(path).select("k", "m", "v")) == merged
+    monkeypatch.setattr(tables, "MAX_NAMED_PARTITIONS", 0)
+    upsert_partitions(spark, path, new, ["k", "m"], ["m"])
+    assert rows(spark.read.parquet(path).select("k", "m", "v")) == merged
     with pytest.raises(ValueError):
         upsert_partitions(spark, path, new, ["k"], ["m"])
 
@@ -105,6 +111,14 @@ def test_bucketed_join_is_shuffle_free(spark, tmp_path):
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
 
 
+def test_several_files_per_bucket(spark, tmp_path):
+    df = spark.range(4000).select(F.lit("hot").alias("k"), "id")
+    stored = write_bucketed(df, "spread", 4, "k", str(tmp_path / "spread"), files_per_bucket=4)
+    assert rows(stored.agg(F.count("*"), F.count_distinct("id"))) == [(4000, 4000)]
+    files = [f for f in (tmp_path / "spread").iterdir() if f.suffix == ".parquet"]
+    assert 1 < len(files) <= 4
+
+
 def test_layouts(spark, tmp_path):
     df = spark.range(20_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 7)).alias("playlist_id"),
