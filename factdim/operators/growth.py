@@ -34,7 +34,7 @@ def player_state(
     present = activity.select(key, period).dropna().distinct()
     axis = activity.select(F.array_sort(F.collect_set(period))).scalar()
     if entities is not None:
-        present = present.join(entities.select(key).distinct(), key, "left_semi")
+        present = present.join(entities.select(key), key, "left_semi")
     placed = present.select(key, F.array_position(axis, F.col(period)).cast("int").alias("_at"))
     w = Window.partitionBy(key).orderBy("_at")
     before, after = F.lag("_at").over(w), F.lead("_at").over(w)
