@@ -99,12 +99,10 @@ def outside_domain(df: DataFrame, column: str, domain: Sequence[str]) -> DataFra
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only if ``df`` holds at most ``max_rows`` rows.
 
-    The count stops after ``max_rows`` + 1 rows.  A larger side keeps its plan, and Spark joins it
-    by shuffle with adaptive skew handling.
+    The count runs on all executors and reads no columns of a stored table.  A larger side keeps its
+    plan, and Spark joins it by shuffle with adaptive skew handling.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def rows_of(*pairs: tuple[Column, Sequence[Column]], names: Sequence[str]) -> Column:

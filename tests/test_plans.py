@@ -96,3 +96,31 @@ def _january():
     import datetime as dt
 
     return dt.date(2024, 1, 1), dt.date(2024, 1, 31)
+
+
+def test_large_dimension_joins_by_shuffle_with_the_same_rows(practice, monkeypatch):
+    from factdim.operators import matches, relational
+
+    def reports():
+        tables = practice.match_details(), practice.matches(), practice.medals_matches_players()
+        names = practice.medals(), practice.maps()
+        return [
+            op.match_fact(*tables, *names),
+            op.match_fact(*tables, *names, partitions=16),
+            op.most_played_map(tables[1], names[1]),
+            op.medal_maps(tables[2], names[0], tables[1], names[1]),
+        ]
+
+    small = [sorted(map(str, df.collect())) for df in reports()]
+    assert small[0] == small[1]
+    monkeypatch.setattr(
+        matches, "checked_broadcast", lambda df: relational.checked_broadcast(df, max_rows=3)
+    )
+    threshold = practice.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    practice.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = reports()
+        assert all("BroadcastHashJoin" not in executed_plan(df) for df in large)
+        assert [sorted(map(str, df.collect())) for df in large] == small
+    finally:
+        practice.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
