@@ -73,8 +73,9 @@ def bucketed_match_join(
     and no side is shuffled.
 
     A bucket is read by one task, so this suits tables whose matches are of similar size; with a
-    match of extreme size use :func:`match_fact`.  Medals belong to the player that earned them.  ``player_keys=()`` joins on the match alone,
-    which pairs every player of a match with every medal of the match.
+    match of extreme size use :func:`match_fact`.  Medals belong to the player that earned them.
+    ``player_keys=()`` joins on the match alone, which pairs every player of a match with every
+    medal of the match.
     """
     medal_side = earned
     if not player_keys:
