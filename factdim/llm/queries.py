@@ -8,15 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from factdim.llm.common import load
+from factdim.llm.mixing import mix
 from factdim.llm.token_counts import token_counts
 
 
+def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(load(spark, folder, "documents"), share=1.5, weights=(5, 2, 1), max_repeat=2)
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts(load(spark, folder, "documents"), path, limit=512)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix_sources": op1_mix_sources,
     "op10_token_counts": op10_token_counts,
 }
 
