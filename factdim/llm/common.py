@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from factdim.session import configure, scratch_dir
 
 #: Distinct terms a task counts in memory before it hands its counts on.
-FLUSH_TERMS = 400_000
+FLUSH_TERMS = 150_000
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -63,7 +63,14 @@ def _count_batches(counts: Counter, kind: pa.DataType, rows: int = 50_000) -> It
         )
 
 
-def column_lists(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[list[list]]:
-    """The named columns of every batch as Python lists."""
+def texts_of(batches: Iterable[pa.RecordBatch], name: str = "text") -> Iterator[str]:
+    """The texts of a column one by one, so that few are Python strings at a time."""
     for batch in batches:
-        yield [batch.column(batch.schema.get_field_index(name)).to_pylist() for name in names]
+        for value in batch.column(batch.schema.get_field_index(name)):
+            yield value.as_py()
+
+
+def ids_and_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, Iterator[str]]]:
+    """Per batch the values of doc_id, and the texts one by one."""
+    for batch in batches:
+        yield batch.column(batch.schema.get_field_index("doc_id")).to_pylist(), texts_of([batch])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from factdim.llm.common import load
 from factdim.llm.mixing import mix
+from factdim.llm.packing import pack
 from factdim.llm.token_counts import token_counts
 
 
@@ -16,6 +17,11 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(load(spark, folder, "documents"), share=1.5, weights=(5, 2, 1), max_repeat=2)
 
 
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack(load(spark, folder, "documents"), path, size=4096, end_id=1)
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts(load(spark, folder, "documents"), path, limit=512)
@@ -23,6 +29,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
 }
 

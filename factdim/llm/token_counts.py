@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factdim.llm.common import column_lists, count_terms, settle, text_or_empty
+from factdim.llm.common import count_terms, ids_and_texts, settle, text_or_empty, texts_of
 
 # White space as Unicode defines it, and the split pattern of byte-level BPE.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -32,7 +32,7 @@ PRE_TOKEN_ASCII = re.compile(
 #: Texts longer than this are split lazily instead of into one list.
 LONG_TEXT = 1 << 20
 #: At most so many pre-tokens, each of at most HEAD_CHARS characters, are broadcast with their pieces.
-HEAD_TERMS = 1 << 17
+HEAD_TERMS = 1 << 16
 HEAD_CHARS = 48
 
 
@@ -85,7 +85,7 @@ def piece_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def count(batches):
         split = _split_with_specials(special_split(tokenizer_path))
-        return count_terms((t for (texts,) in column_lists(batches, "text") for t in texts), split, pa.string())
+        return count_terms(texts_of(batches), split, pa.string())
 
     def pieces(batches):
         tokenizer = _tokenizer(tokenizer_path)
@@ -132,7 +132,7 @@ def token_counts(
     def split_documents(batches) -> Iterator[pa.RecordBatch]:
         known = shared.value
         split = _split_with_specials(special_split(tokenizer_path))
-        for ids, texts in column_lists(batches, "doc_id", "text"):
+        for ids, texts in ids_and_texts(batches):
             n_bytes, sums, terms, numbers, ends = [], [], [], [], [0]
             for text in texts:
                 total = 0
