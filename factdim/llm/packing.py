@@ -21,8 +21,8 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from factdim.llm.characters import SPACE, is_settled
 from factdim.llm.common import ids_and_texts, settle, text_or_empty
-from factdim.llm.token_counts import SPACE
 
 # Fixed value: the split pattern of the tokenizer with word ends.
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
@@ -62,6 +62,8 @@ class WordIds:
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self._plain(text)
+        if not is_settled(text):
+            return self._plain(text)
         text = self.tokenizer.normalizer.normalize_str(text)
         if len(text) <= LONG_TEXT:
             return self._words(WORD.findall(text))

@@ -29,7 +29,7 @@ def test_special_strings_equal_the_library():
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.dictionaries(st.integers(1, 50), st.integers(1, 40), max_size=20))
+@given(st.dictionaries(st.integers(1, 50), st.integers(1, 40), min_size=1, max_size=20))
 def test_rounds_fill_sequences_without_overlap(counts):
     size = 50
     runs = best_fit_rounds(counts, size)
