@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +17,25 @@ from factdim.session import configure, scratch_dir
 FLUSH_TERMS = 150_000
 
 
+#: Rows of an Arrow batch: whole texts travel in them, and a task holds a few at a time.
+ARROW_ROWS = "1000"
+
+
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{folder}/{table}.parquet")
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return spark.read.parquet(f"{folder}/{table}.parquet")
+
+
+@lru_cache(maxsize=2)
+def tokenizer_at(path: str):
+    """The tokenizer of a file, one for a worker process, without threads of its own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

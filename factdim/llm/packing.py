@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factdim.llm.characters import SPACE, is_settled
-from factdim.llm.common import ids_and_texts, settle, text_or_empty
+from factdim.llm.common import ids_and_texts, settle, text_or_empty, tokenizer_at
 
 # Fixed value: the split pattern of the tokenizer with word ends.
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
@@ -38,11 +38,7 @@ class WordIds:
     """Ids of a text as little-endian bytes; each distinct word goes through the tokenizer once."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = tokenizer_at(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 

@@ -9,17 +9,17 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factdim.llm.common import count_terms, ids_and_texts, settle, text_or_empty, texts_of
+from factdim.llm.characters import SPACE, is_settled
+from factdim.llm.common import count_terms, ids_and_texts, settle, text_or_empty, texts_of, tokenizer_at
 
-# White space as Unicode defines it, and the split pattern of byte-level BPE.
-SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The split pattern of byte-level BPE, in general and for ASCII texts.
 PRE_TOKEN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+"
     rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -36,41 +36,33 @@ HEAD_TERMS = 1 << 16
 HEAD_CHARS = 48
 
 
-def pre_tokens(text: str) -> Iterable[str]:
+def pre_tokens(text: str, tokenizer) -> Iterable[str]:
     """The pre-tokens of ``text`` in order."""
+    if not is_settled(text):
+        return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
     pattern = PRE_TOKEN_ASCII if text.isascii() else PRE_TOKEN
     if len(text) <= LONG_TEXT:
         return pattern.findall(text)
     return (m.group() for m in pattern.finditer(text))
 
 
-def special_split(tokenizer_path: str) -> regex.Pattern | None:
-    """Pattern of the added tokens that the library cuts out of a text before anything else."""
-    added = [t.content for t in _tokenizer(tokenizer_path).get_added_tokens_decoder().values()]
-    return regex.compile("|".join(regex.escape(x) for x in sorted(added, key=len, reverse=True))) if added else None
+def splitter(tokenizer) -> Callable[[str], Iterable[str]]:
+    """Splits a text into its pre-tokens and the added tokens in it.
 
-
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
-
-
-def _split_with_specials(special: regex.Pattern | None):
-    """Pre-tokens of a text, and each added token in it as a term of its own."""
+    Added tokens are cut out before anything else, as the library does, and are terms of their own.
+    """
+    added = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+    special = regex.compile("|".join(map(regex.escape, added))) if added else None
 
     def split(text: str) -> Iterable[str]:
         if special is None or not special.search(text):
-            return pre_tokens(text)
+            return pre_tokens(text, tokenizer)
         terms, at = [], 0
         for m in special.finditer(text):
-            terms.extend(pre_tokens(text[at : m.start()]))
+            terms.extend(pre_tokens(text[at : m.start()], tokenizer))
             terms.append(m.group())
             at = m.end()
-        terms.extend(pre_tokens(text[at:]))
+        terms.extend(pre_tokens(text[at:], tokenizer))
         return terms
 
     return split
@@ -84,11 +76,11 @@ def piece_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """One row per distinct pre-token: term, occurrences n, pieces."""
 
     def count(batches):
-        split = _split_with_specials(special_split(tokenizer_path))
+        split = splitter(tokenizer_at(tokenizer_path))
         return count_terms(texts_of(batches), split, pa.string())
 
     def pieces(batches):
-        tokenizer = _tokenizer(tokenizer_path)
+        tokenizer = tokenizer_at(tokenizer_path)
         for batch in batches:
             found = count_pieces(batch.column(0).to_pylist(), tokenizer)
             yield pa.RecordBatch.from_arrays(
@@ -131,7 +123,7 @@ def token_counts(
 
     def split_documents(batches) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        split = _split_with_specials(special_split(tokenizer_path))
+        split = splitter(tokenizer_at(tokenizer_path))
         for ids, texts in ids_and_texts(batches):
             n_bytes, sums, terms, numbers, ends = [], [], [], [], [0]
             for text in texts:

@@ -16,7 +16,7 @@ def expected(text):
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t'sdlmé\xa0 \x1c\x85<|>")), max_size=40))
 def test_pre_tokens_hold_the_tokens_of_a_text(text):
-    split = tc._split_with_specials(tc.special_split(PATH))
+    split = tc.splitter(TOKENIZER)
     assert sum(tc.count_pieces(list(split(text)), TOKENIZER)) == expected(text)
 
 
@@ -36,7 +36,7 @@ def test_counts_equal_the_library(spark):
 
 def test_long_texts_are_split_lazily():
     text = "word " * 300_000
-    assert sum(1 for _ in tc.pre_tokens(text)) == len(tc.PRE_TOKEN_ASCII.findall(text))
+    assert sum(1 for _ in tc.pre_tokens(text, TOKENIZER)) == len(tc.PRE_TOKEN_ASCII.findall(text))
 
 
 def test_empty_table(spark):
