@@ -7,8 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from factdim.llm.bit_sliced import top_inner_products
 from factdim.llm.common import load
 from factdim.llm.mixing import mix
+from factdim.llm.nearest import nearest
 from factdim.llm.packing import pack
 from factdim.llm.token_counts import token_counts
 
@@ -17,6 +19,14 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(load(spark, folder, "documents"), share=1.5, weights=(5, 2, 1), max_repeat=2)
 
 
+def op4_bit_sliced_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_inner_products(load(spark, folder, "embeddings"), k=20, scale=64, every=20)
+
+
+def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(load(spark, folder, "embeddings"), k=10, every=100)
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return pack(load(spark, folder, "documents"), path, size=4096, end_id=1)
@@ -29,8 +39,27 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op4_bit_sliced_top_k": op4_bit_sliced_top_k,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Inner products of quantised vectors, ranked.
+TOP_K_SQL = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_bit_sliced_top_k": TOP_K_SQL}
