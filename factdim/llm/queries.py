@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from factdim.llm.bit_sliced import top_inner_products
 from factdim.llm.common import load
+from factdim.llm.licenses import NOTICES, PHRASES, license_labels
 from factdim.llm.mixing import mix
 from factdim.llm.nearest import nearest
 from factdim.llm.packing import pack
@@ -23,6 +24,10 @@ def op4_bit_sliced_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_inner_products(load(spark, folder, "embeddings"), k=20, scale=64, every=20)
 
 
+def op7_license_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return license_labels(load(spark, folder, "documents"))
+
+
 def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(load(spark, folder, "embeddings"), k=10, every=100)
 
@@ -40,6 +45,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_bit_sliced_top_k": op4_bit_sliced_top_k,
+    "op7_license_labels": op7_license_labels,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
@@ -62,4 +68,53 @@ WITH usable AS (
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_bit_sliced_top_k": TOP_K_SQL}
+
+
+def _license_sql() -> str:
+    """Word pairs of the texts against those of the templates; islands of diagonals by running sums."""
+    grams = []
+    for t, template in enumerate((*PHRASES, *NOTICES)):
+        words = template.words.split()
+        for i, (a, b) in enumerate(zip(words, words[1:], strict=False)):
+            grams.append(f"({t}, {i}, '{a}', '{b}', {len(words) - 1}, '{template.label}', {template.phrase})")
+    return f"""
+WITH grams(template, spot, a, b, size, label, phrase) AS (VALUES {", ".join(grams)}),
+spelt AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), pairs AS (
+    SELECT doc_id, pos, w[pos + 1] AS a, w[pos + 2] AS b FROM spelt, unnest(range(len(w) - 1)) AS p(pos)
+), votes AS (
+    SELECT DISTINCT doc_id, template, spot, size, label, phrase, pos - spot AS diagonal
+    FROM pairs JOIN grams USING (a, b)
+), diagonals AS (
+    SELECT doc_id, template, size, label, phrase, diagonal, count(*) AS n FROM votes GROUP BY ALL
+), cut AS (
+    SELECT *, CASE WHEN phrase OR diagonal - lag(diagonal) OVER w <= 3 IS NOT TRUE THEN 1 ELSE 0 END AS fresh
+    FROM diagonals WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)
+), numbered AS (
+    SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM cut
+), spans AS (
+    SELECT doc_id, template, label, phrase, span, least(1.0, sum(n) / size::DOUBLE) AS part, min(diagonal) AS start
+    FROM numbered GROUP BY doc_id, template, label, phrase, size, span
+), found AS (
+    SELECT doc_id, start, label, part, phrase AND part = 1 AS whole, NOT phrase AND part >= 0.7 AS quoted, phrase
+    FROM spans
+), by_document AS (
+    SELECT doc_id, count(*) FILTER (whole) AS n_base,
+           min(start) FILTER (whole) AS first_word, max(start) FILTER (whole) AS last_word,
+           array_to_string(list_sort(list_distinct(list(label) FILTER (whole))), ',') AS base_labels,
+           array_to_string(list_sort(list_distinct(list(label) FILTER (whole OR quoted))), ',') AS labels,
+           max(part) FILTER (whole OR NOT phrase) AS score
+    FROM found GROUP BY doc_id
+)
+SELECT s.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM spelt s LEFT JOIN by_document b ON s.doc_id = b.doc_id
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op4_bit_sliced_top_k": TOP_K_SQL, "op7_license_labels": _license_sql()}
