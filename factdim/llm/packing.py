@@ -12,7 +12,10 @@ parallel and look their rank up in that list.
 from __future__ import annotations
 
 import bisect
+import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,56 +23,74 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from factdim.llm.characters import SPACE, is_settled
 from factdim.llm.common import ids_and_texts, settle, text_or_empty, tokenizer_at
 
-# Fixed value: the split pattern of the tokenizer with word ends.
-WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+#: White space for Python, but not for the tokenizer: texts with these are not split beforehand.
+ODD = re.compile("[\x1c-\x1f]")
 
-#: Distinct words a task remembers with their ids; beyond it the memory starts anew.
-CACHE_WORDS = 400_000
-LONG_TEXT = 1 << 20
+# Fixed value: the split pattern of the tokenizer with word ends, applied to lower-case words.
+PART = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+PART_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+
+#: Distinct words of a generation a worker remembers with their ids; it keeps two generations.
+CACHE_WORDS = 300_000
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, salt int"
 
 
 class WordIds:
-    """Ids of a text as little-endian bytes; each distinct word goes through the tokenizer once."""
+    """Ids of a text as little-endian bytes; a distinct word goes through the tokenizer once in a while.
+
+    The tokenizer drops white space and never joins what it parts, so the ids of a text are those of
+    its words, one after another.  Words that are still in use survive a change of generation.
+    """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = tokenizer_at(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
-
-    def _plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _words(self, words: list[str]) -> bytes:
-        known = self.known
-        if missing := [w for w in dict.fromkeys(words) if w not in known]:
-            if len(known) + len(missing) > CACHE_WORDS:
-                known.clear()
-                missing = list(dict.fromkeys(words))
-            for w, e in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        self.before: dict[str, bytes] = {}
+
+    def _ids(self, word: str) -> list[int]:
+        """The library's steps for one word: compose, lower, split, merge; or the library itself."""
+        if word.isascii():
+            parts = PART_ASCII.findall(word.lower())
+        elif is_settled(word):
+            # the library lowers letter by letter, without the final form of sigma
+            parts = PART.findall(unicodedata.normalize("NFC", word).replace("\u03a3", "\u03c3").lower())
+        else:
+            parts = None
+        if parts is None or any(s in word for s in self.special):
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        ids = []
+        for part in parts:
+            if not (part.isascii() and part.isprintable()):
+                part = self.as_bytes(part)[0][0]
+            ids += [t.id for t in self.merge(part)]
+        return ids
+
+    def _learn(self, words: Iterable[str]) -> None:
+        for w in words:
+            ids = self.before.get(w)
+            if ids is None:
+                ids = array("I", self._ids(w)).tobytes()
+            self.known[w] = ids
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self._plain(text)
-        if not is_settled(text):
-            return self._plain(text)
-        text = self.tokenizer.normalizer.normalize_str(text)
-        if len(text) <= LONG_TEXT:
-            return self._words(WORD.findall(text))
-        parts, words = [], []
-        for m in WORD.finditer(text):
-            words.append(m.group())
-            if len(words) == LONG_TEXT:
-                parts.append(self._words(words))
-                words = []
-        return b"".join([*parts, self._words(words)])
+        words = [text] if ODD.search(text) else text.split()
+        out = []
+        for at in range(0, len(words), CACHE_WORDS):
+            part = words[at : at + CACHE_WORDS]
+            if len(self.known) > CACHE_WORDS:
+                self.before, self.known = self.known, {}
+            self._learn([w for w in set(part) if w not in self.known])
+            out += map(self.known.__getitem__, part)
+        return b"".join(out)
 
 
 def document_pieces(docs: DataFrame, tokenizer_path: str, size: int, end_id: int, salts: int) -> DataFrame:
@@ -139,7 +160,7 @@ def best_fit_rounds(counts: dict[int, int], size: int) -> list[tuple[int, int, i
     return sorted(runs)
 
 
-def pack(
+def pack_sequences(
     docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int = 1, rows_per_salt: int = 1_000_000
 ) -> DataFrame:
     """Pack all documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset.

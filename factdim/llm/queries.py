@@ -12,7 +12,7 @@ from factdim.llm.common import load
 from factdim.llm.licenses import NOTICES, PHRASES, license_labels
 from factdim.llm.mixing import mix
 from factdim.llm.nearest import nearest
-from factdim.llm.packing import pack
+from factdim.llm.packing import pack_sequences
 from factdim.llm.token_counts import token_counts
 
 
@@ -34,7 +34,7 @@ def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    return pack(load(spark, folder, "documents"), path, size=4096, end_id=1)
+    return pack_sequences(load(spark, folder, "documents"), path, size=4096, end_id=1)
 
 
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
