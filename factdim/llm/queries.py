@@ -11,6 +11,7 @@ from factdim.llm.bit_sliced import top_inner_products
 from factdim.llm.common import load
 from factdim.llm.licenses import NOTICES, PHRASES, license_labels
 from factdim.llm.mixing import mix
+from factdim.llm.near_dup import near_duplicates
 from factdim.llm.nearest import nearest
 from factdim.llm.packing import pack_sequences
 from factdim.llm.token_counts import token_counts
@@ -24,6 +25,10 @@ def op4_bit_sliced_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_inner_products(load(spark, folder, "embeddings"), k=20, scale=64, every=20)
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(load(spark, folder, "documents"), percent=75, words=5)
+
+
 def op7_license_labels(spark: SparkSession, folder: str) -> DataFrame:
     return license_labels(load(spark, folder, "documents"))
 
@@ -45,6 +50,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_bit_sliced_top_k": op4_bit_sliced_top_k,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_license_labels": op7_license_labels,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_best_fit_packing": op9_best_fit_packing,
