@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import factdim
 from factdim.session import configure, scratch_dir
 
 #: Distinct terms a task counts in memory before it hands its counts on.
@@ -21,8 +25,26 @@ FLUSH_TERMS = 150_000
 ARROW_ROWS = "1000"
 
 
-def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings of the operators, and the package's source sent to the executors, once an application."""
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(factdim.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="factdim-")) / "factdim.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(archive))  # the driver serves it; the temporary copy is its own
+        _shipped.add(context.applicationId)
+    return spark
+
+
+def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from factdim.llm.bit_sliced import top_inner_products
 from factdim.llm.common import load
@@ -15,12 +16,19 @@ from factdim.llm.near_dup import near_duplicates
 from factdim.llm.nearest import nearest
 from factdim.llm.packing import pack_sequences
 from factdim.llm.token_counts import token_counts
+from factdim.llm.toxicity import toxicity
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(load(spark, folder, "documents"), share=1.5, weights=(5, 2, 1), max_repeat=2)
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    labels = load(spark, folder, "labels").select("doc_id", "toxic")
+    scored = toxicity(load(spark, folder, "documents"), labels, held_out=(3, 1), threshold=0.7)
+    return scored.withColumn("n_passages", F.size("passages")).drop("passages")
+
+
 def op4_bit_sliced_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_inner_products(load(spark, folder, "embeddings"), k=20, scale=64, every=20)
 
@@ -49,6 +57,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_toxicity": op3_toxicity,
     "op4_bit_sliced_top_k": op4_bit_sliced_top_k,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_license_labels": op7_license_labels,
