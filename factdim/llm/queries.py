@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from factdim.llm.bit_sliced import top_inner_products
 from factdim.llm.common import load
+from factdim.llm.language_model import score_texts
 from factdim.llm.licenses import NOTICES, PHRASES, license_labels
 from factdim.llm.mixing import mix
 from factdim.llm.near_dup import near_duplicates
@@ -23,6 +24,10 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(load(spark, folder, "documents"), share=1.5, weights=(5, 2, 1), max_repeat=2)
 
 
+def op2_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(load(spark, folder, "documents"), held_out=(7, 2))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     labels = load(spark, folder, "labels").select("doc_id", "toxic")
     scored = toxicity(load(spark, folder, "documents"), labels, held_out=(3, 1), threshold=0.7)
@@ -57,6 +62,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_language_model": op2_language_model,
     "op3_toxicity": op3_toxicity,
     "op4_bit_sliced_top_k": op4_bit_sliced_top_k,
     "op6_near_duplicates": op6_near_duplicates,
