@@ -35,8 +35,8 @@ ODD = re.compile("[\x1c-\x1f]")
 PART = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 PART_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 
-#: Distinct words of a generation a worker remembers with their ids; it keeps two generations.
-CACHE_WORDS = 300_000
+#: Distinct words of a generation a worker remembers with their ids (about 150 MB); it keeps two generations.
+CACHE_WORDS = 800_000
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, salt int"
 
