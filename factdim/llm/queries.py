@@ -16,6 +16,7 @@ from factdim.llm.mixing import mix
 from factdim.llm.near_dup import near_duplicates
 from factdim.llm.nearest import nearest
 from factdim.llm.packing import pack_sequences
+from factdim.llm.suffix_dedup import remove_repeats
 from factdim.llm.token_counts import token_counts
 from factdim.llm.toxicity import toxicity
 
@@ -38,6 +39,10 @@ def op4_bit_sliced_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_inner_products(load(spark, folder, "embeddings"), k=20, scale=64, every=20)
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(load(spark, folder, "documents"), length=50).drop("kept", "spans")
+
+
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(load(spark, folder, "documents"), percent=75, words=5)
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_model": op2_language_model,
     "op3_toxicity": op3_toxicity,
     "op4_bit_sliced_top_k": op4_bit_sliced_top_k,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_license_labels": op7_license_labels,
     "op8_nearest_neighbours": op8_nearest_neighbours,

@@ -38,20 +38,26 @@ def _sorted_directly(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray
     return at
 
 
-def two_stage_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of ``text`` ordered by at least ``depth`` bytes from each.
+def two_stage_order(text: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Positions of ``text`` (those marked in ``wanted``) ordered by at least ``depth`` bytes from each.
 
     ``text`` is padded with zeros for the bytes beyond its end; positions equal to that depth stand in
-    any order.
+    any order.  Besides the wanted positions only those that induce them are sorted.
     """
     n = len(text)
     padded = np.concatenate([text, np.zeros(depth + 16, np.uint8)])
     direct = text <= padded[1 : n + 1]
-    sorted_at = _sorted_directly(padded, np.flatnonzero(direct), depth)
+    needed = np.ones(n, bool) if wanted is None else wanted.copy()
+    while wanted is not None:
+        more = needed[:-1] & ~direct[:-1] & ~needed[1:]
+        if not more.any():
+            break
+        needed[1:] |= more
+    sorted_at = _sorted_directly(padded, np.flatnonzero(direct & needed), depth)
     first = text[sorted_at]
     begins = np.searchsorted(first, np.arange(257))
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
-    if n and not direct[n - 1]:  # the last suffix is induced by the empty one
+    if n and needed[n - 1] and not direct[n - 1]:  # the last suffix is induced by the empty one
         induced[text[n - 1]].append(np.array([n - 1]))
     out = []
     for byte in range(256):
@@ -61,7 +67,7 @@ def two_stage_order(text: np.ndarray, depth: int) -> np.ndarray:
         bucket = bucket.astype(np.int64)
         out.append(bucket)
         before = bucket[bucket > 0] - 1
-        before = before[text[before] > byte]
+        before = before[(text[before] > byte) & needed[before]]
         if not len(before):
             continue
         kinds = text[before]
@@ -70,7 +76,8 @@ def two_stage_order(text: np.ndarray, depth: int) -> np.ndarray:
         found, starts = np.unique(kinds, return_index=True)
         for kind, part in zip(found, np.split(before, starts[1:]), strict=True):
             induced[kind].append(part)
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
+    order = np.concatenate(out) if out else np.zeros(0, np.int64)
+    return order if wanted is None else order[wanted[order]]
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
