@@ -6,9 +6,8 @@ values.  A chunk is therefore indexed under each choice of ``ERRORS`` values to
 the distance share a key.  Candidates are confirmed on the full shingle sets.
 
 Only links that matter for the groups are confirmed: first every member of a key with the key's leader,
-then with its nearest members of other groups, last all pairs within the distance that are still in
-different groups.  No link between different groups can be missed, and a large group of copies is never
-expanded into its pairs.
+then, inside the tasks, all pairs within the distance that are still in different groups.  No link between
+different groups can be missed, and the pairs of a group of copies never leave a task.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -141,27 +139,88 @@ def _near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], ["a", "b"])
 
 
-def _pairs_of_key(rows: pd.DataFrame, nearest: int | None) -> pd.DataFrame:
-    """Pairs of one key (or of two of its blocks) in different groups, within the signature distance.
-
-    With ``nearest``, only that many nearest partners of each row.
-    """
-    signature = np.frombuffer(b"".join(rows["signature"]), np.uint16).reshape(-1, SYMBOLS)
-    ids, label, n = (rows[c].to_numpy() for c in ("set_id", "label", "n_shingles"))
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i in range(len(rows)):
-        others = np.flatnonzero((label != label[i]) & (4 * np.minimum(n, n[i]) >= 3 * np.maximum(n, n[i])))
-        if nearest is None:
-            others = others[others > i]
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each (key, i, j), which come sorted; a run may go on in the next batch."""
+    held = None
+    for batch in batches:
+        batch = batch if held is None else pa.concat_batches([held, batch])
+        if not batch.num_rows:
+            continue
+        key, i, j = (batch.column(c).to_numpy() for c in range(3))
+        new = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield batch.slice(a, b - a)
+        held = batch.slice(cuts[-1])
+    if held is not None:
+        yield held
+
+
+class _Run:
+    """The members of one key, or of two of its blocks."""
+
+    def __init__(self, rows: pa.RecordBatch) -> None:
+        self.place = rows.column(0)[0].as_py() >> 48
+        self.ids, self.label, self.size = (rows.column(c).to_numpy() for c in (3, 4, 5))
+        self.signature = np.frombuffer(b"".join(rows.column(6).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+
+    def partners(self, i: int, label: np.ndarray) -> np.ndarray:
+        """Later members in other groups within the distance of member ``i``, whose first common key is this."""
+        size = self.size[i]
+        rest = slice(i + 1, None)
+        likely = (label[rest] != label[i]) & (4 * np.minimum(self.size[rest], size) >= 3 * np.maximum(self.size[rest], size))
+        others = np.flatnonzero(likely) + i + 1
         if len(others):
-            distance = (signature[others] != signature[i]).sum(1)
-            others, distance = others[distance <= MAX_DISTANCE], distance[distance <= MAX_DISTANCE]
-            if nearest is not None:
-                others = others[np.argsort(distance, kind="stable")[:nearest]]
-            left.append(np.full(len(others), ids[i]))
-            right.append(ids[others])
-    a, b = np.concatenate(left), np.concatenate(right)
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            same = self.signature[others] == self.signature[i]
+            near = same.sum(1) >= SYMBOLS - MAX_DISTANCE
+            others, same = others[near], same[near].reshape(-1, CHUNKS, CHUNK)
+            agree = same.sum(2)
+            chunk = np.argmax(agree >= CHUNK - ERRORS, 1)
+            rows = np.arange(len(others))
+            left_out = np.where(agree[rows, chunk] == CHUNK, 0, np.argmin(same[rows, chunk], 1))
+            others = others[chunk * CHUNK + left_out == self.place]
+        return others
+
+
+def _candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of a key that have a candidate partner there."""
+    for rows in _runs(batches):
+        run = _Run(rows)
+        wanted = np.zeros(len(run.ids), bool)
+        for i in range(len(run.ids) - 1):
+            if len(others := run.partners(i, run.label)):
+                wanted[i] = wanted[others] = True
+        if wanted.any():
+            yield rows.filter(pa.array(wanted))
+
+
+def _links(percent: int):
+    def links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Confirmed links between members of different groups; linked groups become one on the way."""
+        for rows in _runs(batches):
+            run = _Run(rows)
+            label, found = run.label.copy(), []
+            lists = rows.column(7)
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)  # ascending as unsigned
+            for i in range(len(run.ids) - 1):
+                others = run.partners(i, label)
+                if not len(others):
+                    continue
+                sets = [flat[ends[k] : ends[k + 1]] for k in others]
+                own = flat[ends[i] : ends[i + 1]]
+                other = np.concatenate(sets)
+                at = np.minimum(np.searchsorted(own, other), len(own) - 1)
+                sizes = np.array([len(x) for x in sets])
+                both = np.add.reduceat((own[at] == other).astype(np.int64), np.cumsum(sizes) - sizes)
+                for k in others[100 * both >= percent * (len(own) + sizes - both)]:
+                    if label[k] != label[i]:
+                        found.append((run.ids[i], run.ids[k]))
+                        label[label == label[k]] = label[i]
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return links
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -177,8 +236,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _cross_pairs(grouped: DataFrame, sketches: DataFrame, labels: DataFrame, nearest: int | None) -> DataFrame:
-    """Candidate pairs that share a key and are still in different groups."""
+def _cross_links(grouped: DataFrame, sketches: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links between members of a key that are still in different groups.
+
+    Signatures go to the keys first, full sets only to the members left with a candidate.  A pair with
+    several keys in common is looked at under the first, and only confirmed pairs leave the task.
+    """
     labelled = grouped.select("key", "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "set_id"))
     mixed = (
@@ -192,6 +255,7 @@ def _cross_pairs(grouped: DataFrame, sketches: DataFrame, labels: DataFrame, nea
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(F.least(F.col("block"), other).alias("i"), F.greatest(F.col("block"), other).alias("j")),
     )
+    columns = "key long, i int, j int, set_id long, label long, n_shingles long, signature binary"
     rows = (
         labelled.join(mixed, "key")
         .withColumn("block", block)
@@ -199,25 +263,17 @@ def _cross_pairs(grouped: DataFrame, sketches: DataFrame, labels: DataFrame, nea
         .join(sketches.select("set_id", "n_shingles", "signature"), "set_id")
         .select("key", F.col("meet.i").alias("i"), F.col("meet.j").alias("j"), "set_id", "label", "n_shingles", "signature")
     )
-
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # rows come sorted by key and blocks; a group may go on in the next batch
-        held = None
-        for batch in batches:
-            if held is not None:
-                batch = pd.concat([held, batch])
-            groups = [g for _, g in batch.groupby(["key", "i", "j"], sort=False)]
-            held = groups.pop() if groups else None
-            found = [_pairs_of_key(g, nearest) for g in groups if g["label"].nunique() > 1]
-            if found:
-                yield pd.concat(found).drop_duplicates()
-        if held is not None:
-            yield _pairs_of_key(held, nearest)
-
-    return (
+    left = (
         rows.repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j")
-        .mapInPandas(pairs, "a long, b long")
+        .sortWithinPartitions("key", "i", "j", "set_id")
+        .mapInArrow(_candidates, columns)
+    )
+    return (
+        left.join(sets, "set_id")
+        .select("key", "i", "j", "set_id", "label", "n_shingles", "signature", "shingles")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j", "set_id")
+        .mapInArrow(_links(percent), "a long, b long")
         .distinct()
     )
 
@@ -270,15 +326,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
         .select("a", "b", "x", "y")
         .mapInArrow(_near, "a long, b long")
     )
-    tested = settle(led, "pairs")
-    links = settle(_confirmed(tested, sets, percent), "links")
+    links = settle(_confirmed(led, sets, percent), "links")
     labels = connected_components(links)
-    for nearest in (4, None):
-        fresh = _cross_pairs(grouped, sketches, labels, nearest).join(tested, ["a", "b"], "left_anti")
-        fresh = settle(fresh, "pairs")
-        found = settle(_confirmed(fresh, sets, percent), "links")
-        tested, links = tested.unionByName(fresh), links.unionByName(found)
-        labels = connected_components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
+    found = settle(_cross_links(grouped, sketches, sets, labels, percent), "links")
+    stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    labels = connected_components(stars.unionByName(found))
 
     grouped_docs = sketches.select("set_id", "first_doc").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     grouped_docs = grouped_docs.withColumn("label", F.coalesce("label", "set_id"))
