@@ -342,3 +342,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), own))
         .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
     )
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
+    """The rows of ``docs``, all columns, that are the first of their group; see :func:`near_duplicates`.
+
+    Of rows that share a doc_id all stay or go together; rows without doc_id stay.
+    """
+    found = near_duplicates(docs, percent, words).where(F.col("doc_id").isNotNull())
+    copies = found.groupBy("doc_id").agg(F.max("kept").alias("_kept")).where(~F.col("_kept")).select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)

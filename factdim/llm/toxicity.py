@@ -301,3 +301,20 @@ def toxicity(
     return texts.mapInArrow(
         score, "doc_id long, held_out boolean, score double, passages array<struct<first: long, last: long, evidence: double>>"
     ).select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "passages")
+
+
+def without_toxic(
+    docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (3, 1), threshold: float = 0.7
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores under ``threshold``; see :func:`toxicity`."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(train(docs, labels, held_out))
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            clean = [not model or model.score(model.passages(t.as_py() or "")[1]) < threshold for t in texts]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
