@@ -13,6 +13,7 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,10 @@ WORD_CLASSES, ENDING_CLASSES = 159, 96
 CLASSES = 1 + WORD_CLASSES + ENDING_CLASSES
 #: Before the first word of a text.
 START = CLASSES
-WIDTH, CONTEXT, NOISE, BATCH = 16, 2, 64, 2048
+WIDTH, CONTEXT, NOISE, BATCH = 16, 2, 32, 1024
 TRAINING_ROUNDS = 2
+#: AdaGrad: step width, and the sum of squared gradients to start from.
+RATE, START_SQUARES = 0.1, 1e-6
 
 _PUNCTUATION = b".,;:!?|()\"'"
 
@@ -55,7 +58,7 @@ class Vocabulary:
 
     def classes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Head index (-1 for other words) and class of every word."""
-        at = np.array([self.index.get(w, -1) for w in words], np.int64)
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         out = self.word_class[at] if len(self.word_class) else np.zeros(len(at), np.int64)
         for i in np.flatnonzero(at < 0):
             out[i] = self.endings.get(ending(words[i]), CLASSES - 1)
@@ -104,12 +107,22 @@ class Parameters:
         return out
 
 
+def summed(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Rows of equal index added up, as a table of ``n`` rows."""
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    order = np.argsort(index.astype(np.int16), kind="stable")
+    at = index[order]
+    begins = np.flatnonzero(np.diff(at, prepend=-1))
+    out[at[begins]] = np.add.reduceat(rows[order], begins)
+    return out
+
+
 class Trainer:
     """Noise-contrastive training with AdaGrad steps, in place."""
 
-    def __init__(self, model: Parameters, noise: np.ndarray, rate: float = 0.1) -> None:
+    def __init__(self, model: Parameters, noise: np.ndarray, rate: float = RATE) -> None:
         self.model, self.noise, self.rate = model, noise, rate
-        self.squares = [np.full_like(p, 1e-2) for p in model.parts()]
+        self.squares = [np.full_like(p, START_SQUARES) for p in model.parts()]
         self.rng = np.random.default_rng(11)
         self.log_noise = np.log(noise * NOISE).astype(np.float32)
 
@@ -123,18 +136,15 @@ class Trainer:
         d_right = (1 / (1 + np.exp(-np.clip(right, -30, 30))) - 1)[:, None] / n
         d_wrong = 1 / (1 + np.exp(-np.clip(wrong, -30, 30))) / n
         d_predicted = d_right * m.output[target] + d_wrong @ m.output[drawn]
-        hot = np.zeros((n, CLASSES), np.float32)
-        hot[np.arange(n), target] = d_right[:, 0]
-        d_output, d_bias = hot.T @ predicted, hot.sum(0)
+        d_output = summed(target, d_right * predicted, CLASSES)
         np.add.at(d_output, drawn, d_wrong.T @ predicted)
+        d_bias = np.bincount(target, d_right[:, 0], CLASSES).astype(np.float32)
         np.add.at(d_bias, drawn, d_wrong.sum(0))
         d_context = np.zeros_like(m.context)
         d_place = np.empty_like(m.place)
         for j in range(CONTEXT):
             d_place[j] = vectors[j].T @ d_predicted
-            ones = np.zeros((n, CLASSES + 1), np.float32)
-            ones[np.arange(n), before[:, j]] = 1
-            d_context += ones.T @ (d_predicted @ m.place[j].T)
+            d_context += summed(before[:, j], d_predicted @ m.place[j].T, CLASSES + 1)
         for p, s, d in zip(m.parts(), self.squares, [d_context, d_place, d_output, d_bias], strict=True):
             s += d * d
             p -= self.rate * d / np.sqrt(s)

@@ -136,22 +136,22 @@ def mix_ranges(
     )
     shard = Window.partitionBy("source", "shard")
     in_order = shard.orderBy("mark", "doc_id")
-    start = lambda block: F.floor(block * F.col("words") / F.col("_blocks"))
-    block_of = lambda word: F.expr(f"(({word}) + 1) * _blocks - 1").cast("long")
+    start = lambda block: F.expr(f"({block}) * words div _blocks")
+    block_of = lambda word: F.expr(f"((({word}) + 1) * _blocks - 1) div nullif(words, 0)")
     placed = (
         sized.join(plan, sized["source"].eqNullSafe(plan["_source"]) & (sized["shard"] == plan["_shard"]))
         .drop("_source", "_shard")
         .withColumn("place", F.row_number().over(in_order))
         .withColumn("_end", F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_begin", F.col("_end") - F.col("size"))
-        .withColumn("_from", F.floor(block_of("_begin") / F.col("words")))
-        .withColumn("_to", F.floor(block_of("_end - 1") / F.col("words")))
+        .withColumn("_from", block_of("_begin"))
+        .withColumn("_to", block_of("_end - 1"))
         .withColumn("_block", F.explode_outer(F.when(F.col("size") > 0, F.sequence("_from", "_to"))))
     )
     by_seed = shard.orderBy(F.col("_block").isNull(), F.xxhash64(F.lit(seed), "shard", "_block"), "_block")
     extra = (F.dense_rank().over(by_seed) <= F.col("quota") % F.col("_blocks")).cast("long")
-    first = F.greatest(F.col("_begin"), start(F.col("_block")))
-    last = F.least(F.col("_end"), start(F.col("_block") + 1))
+    first = F.greatest(F.col("_begin"), start("_block"))
+    last = F.least(F.col("_end"), start("_block + 1"))
     return placed.select(
         "doc_id",
         "source",

@@ -152,11 +152,14 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return float(beta[0]), float(beta[1])
 
 
-def _terms(text: str) -> set[str]:
+def _terms(text: str) -> tuple[set[str], int]:
+    """The terms of a text and its number of words."""
     terms: set[str] = set()
+    n = 0
     for words in split_words(text):
         terms.update(words)
-    return terms | {w[:PREFIX] + "-" for w in terms if len(w) > PREFIX}
+        n += len(words)
+    return terms | {w[:PREFIX] + "-" for w in terms if len(w) > PREFIX}, n
 
 
 def _sketch_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +178,7 @@ def _sketch_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _count_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each class by term; the empty term counts documents, the term "-" their terms."""
+    """Documents of each class by term; the empty term counts documents, the term "-" their words."""
     toxic, clean = Counter(), Counter()
 
     def handed_on() -> Iterator[pa.RecordBatch]:
@@ -192,10 +195,10 @@ def _count_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         labels = batch.column(batch.schema.get_field_index("toxic")).to_pylist()
         for label, text in zip(labels, batch.column(batch.schema.get_field_index("text")), strict=True):
-            counts, terms = toxic if label else clean, _terms(text.as_py())
+            counts, (terms, n) = toxic if label else clean, _terms(text.as_py())
             counts.update(terms)
             counts[""] += 1
-            counts["-"] += len(terms)
+            counts["-"] += n
             if len(toxic) + len(clean) > 200_000:
                 yield from handed_on()
     yield from handed_on()
