@@ -36,12 +36,28 @@ def _yearly(films: DataFrame, with_films: bool, strict: bool) -> DataFrame:
     return films.filter(F.col("actorid").isNotNull()).groupBy("actorid", "year").agg(*columns)
 
 
-def cumulate_actors(prev: DataFrame, films: DataFrame, year: int, strict: bool = False) -> DataFrame:
+def _require_previous(prev: DataFrame, period: str, now, before, last) -> None:
+    """Refuse a history that ends before the period in front of ``now``: its keys would vanish.
+
+    ``last`` tells where the history ends; otherwise it is looked up, which is cheap in a table
+    partitioned by ``period``.  A history without earlier periods is a first load.
+    """
+    if last is None:
+        last = prev.filter(F.col(period) < F.lit(now)).agg(F.max(period)).first()[0]
+    if last is not None and last < before:
+        raise ValueError(f"history ends at {last}, cannot add {now}: {before} is missing")
+
+
+def cumulate_actors(
+    prev: DataFrame, films: DataFrame, year: int, strict: bool = False, last_period: int | None = None
+) -> DataFrame:
     """The snapshot of ``year`` from the snapshot of ``year`` - 1 and the films of ``year``.
 
-    ``prev`` may hold other years too (they are pruned) and may be empty.  An actor without films
-    in ``year`` keeps class and films and becomes inactive.
+    ``prev`` may hold other years too (they are pruned) and may be empty; if it holds earlier years but
+    not ``year`` - 1 it is refused (``last_period`` spares the look).  An actor without films in ``year``
+    keeps class and films and becomes inactive.
     """
+    _require_previous(prev, "current_year", year, year - 1, last_period)
     before = prev.filter(F.col("current_year") == year - 1).alias("b")
     now = _yearly(films.filter(F.col("year") == year), True, strict).alias("n")
     none = F.array().cast(prev.schema["films"].dataType)
@@ -112,12 +128,15 @@ def cumulate_dates(
     ts_col: str = "event_time",
     list_col: str = "activity_datelist",
     max_history_days: int | None = None,
+    last_period: dt.date | None = None,
 ) -> DataFrame:
     """Date lists of ``date`` from those of the day before and the events of ``date``.
 
+    A history with earlier days but without the day before is refused (``last_period`` spares the look).
     Rows with a NULL key are left out.  ``max_history_days`` trims dates that are older.
     """
     keys = list(keys)
+    _require_previous(prev, "date", date, date - dt.timedelta(days=1), last_period)
     before = prev.filter(F.col("date") == date - dt.timedelta(days=1)).select(*keys, list_col)
     today = (
         events.filter(on_day(F.col(ts_col), date))

@@ -39,32 +39,27 @@ def cell_metrics(
     """Per cell and metric: users, mean, variance, lift over control and Welch's z.
 
     ``metrics`` are aggregates of ``facts`` per user.  Facts are reduced to one row per user before
-    the join, users without facts count as 0, and means and variances come from plain sums.
+    the join, users without facts count as 0, and means and variances are merged from partial ones,
+    which neither overflow nor cancel.
     """
     per_user = facts.groupBy(key).agg(*[m.alias(f"_m_{n}") for n, m in metrics.items()])
-    values = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(n).alias("metric"), F.coalesce(f"_m_{n}", F.lit(0)).alias("v"))
-                for n in metrics
-            ]
-        )
-    )
-    sums = (
+    value = {n: F.coalesce(f"_m_{n}", F.lit(0)).cast("double") for n in metrics}
+    wide = (
         assignment.join(per_user, key, "left")
-        .select("experiment", "cell", values.alias("_x"))
-        .groupBy("experiment", "cell", "_x.metric")
+        .groupBy("experiment", "cell")
         .agg(
             F.count("*").alias("users"),
-            F.sum("_x.v").alias("_s"),
-            F.sum(F.col("_x.v") * F.col("_x.v")).alias("_ss"),
+            *[
+                F.struct(F.lit(m).alias("metric"), F.avg(v).alias("mean"), F.var_samp(v).alias("variance")).alias(f"_x_{m}")
+                for m, v in value.items()
+            ],
         )
     )
-    n, s, ss = F.col("users"), F.col("_s"), F.col("_ss")
-    variance = F.when(n > 1, (ss - s * s / n) / (n - 1))
-    stats = sums.select(
-        "experiment", "cell", "metric", n, (s / n).alias("mean"), variance.alias("variance")
+    # the few rows, one per cell, are turned into one per cell and metric
+    stats = wide.select("experiment", "cell", "users", F.inline(F.array(*[f"_x_{m}" for m in metrics]))).select(
+        "experiment", "cell", "metric", "users", "mean", "variance"
     )
+    n = F.col("users")
     # one row per cell: the control row is read from the few rows of the same metric
     peers = Window.partitionBy("experiment", "metric")
 

@@ -155,7 +155,10 @@ def retention(
     days: Sequence[int] = (7,),
     weeks: Sequence[int] = (1, 4),
 ) -> DataFrame:
-    """Share of each first-day cohort active on day n and in week n (days 7n-6 .. 7n)."""
+    """Share of each first-day cohort active on day n and in week n (days 7n-6 .. 7n).
+
+    NULL where day n, or the end of week n, lies after the last day of the table: it has not happened.
+    """
     present = activity.select(key, F.to_date(ts_col).alias("_date")).dropna().distinct()
     first = F.min("_date").over(Window.partitionBy(key))
     aged = present.select(key, first.alias("cohort"), F.datediff("_date", first).alias("_age"))
@@ -165,7 +168,12 @@ def retention(
     per_key = aged.groupBy(key, "cohort").agg(
         *[F.max(F.when(m, 1).otherwise(0)).alias(n) for n, m in marks.items()]
     )
-    return per_key.groupBy("cohort").agg(
-        F.count("*").alias("users"),
-        *[(F.sum(n) / F.count("*")).alias(f"{n}_share") for n in marks],
+    last = present.select(F.max("_date")).scalar()
+    needed = {f"day_{d}": d for d in days} | {f"week_{n}": 7 * n for n in weeks}
+    shares = per_key.groupBy("cohort").agg(
+        F.count("*").alias("users"), *[(F.sum(n) / F.count("*")).alias(f"{n}_share") for n in marks]
+    )
+    observed = {n: F.date_add("cohort", d) <= last for n, d in needed.items()}
+    return shares.select(
+        "cohort", "users", *[F.when(observed[n], F.col(f"{n}_share")).alias(f"{n}_share") for n in marks]
     )

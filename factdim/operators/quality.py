@@ -12,6 +12,25 @@ from pyspark.sql import types as T
 from ..functions import whole_number
 
 
+def _with_absent_days(daily: DataFrame, date_col: str, value_col: str, keys: Sequence[str], value) -> DataFrame:
+    """``daily`` with a row of ``value`` for every day a key misses, up to the last day of the table.
+
+    The rows come from the gap to the next present day, so only absent days are generated.
+    """
+    last = daily.select(F.max(date_col)).scalar()
+    following = F.lead(date_col).over(Window.partitionBy(*keys).orderBy(date_col))
+    until = F.coalesce(F.date_sub(following, 1), last)
+    days = F.sequence(F.col(date_col), F.col("_until"), F.expr("interval 1 day"))
+    return (
+        daily.filter(F.col(date_col).isNotNull())
+        .withColumn("_until", until)
+        .withColumn("_day", F.explode(days))
+        .withColumn(value_col, F.when(F.col("_day") == F.col(date_col), F.col(value_col)).otherwise(F.lit(value)))
+        .withColumn(date_col, F.col("_day"))
+        .drop("_until", "_day")
+    )
+
+
 def consecutive_drop_alert(
     daily: DataFrame,
     date_col: str = "date",
@@ -19,16 +38,24 @@ def consecutive_drop_alert(
     pct: float = 0.2,
     days: int = 2,
     keys: Sequence[str] = (),
+    absent: float | None = 0,
 ) -> DataFrame:
     """Days on which the value fell by ``pct`` or more for the ``days``-th day in a row.
 
-    ``daily`` is a series, one row per key and day; a missing day interrupts the count.
+    ``daily`` is a series, one row per key and day.  A missing day counts as ``absent``, also after the
+    last row of a key; with None it interrupts the count instead.  A value that stays at 0 does not fall.
     """
+    if absent is not None:
+        daily = _with_absent_days(daily, date_col, value_col, keys, absent)
     w = Window.partitionBy(*keys).orderBy(date_col)
     previous = F.when(F.datediff(date_col, F.lag(date_col).over(w)) == 1, F.lag(value_col).over(w))
     dropped = daily.withColumn("_previous", previous).withColumn(
         "_drop",
-        F.coalesce((F.col("_previous") - F.col(value_col)) >= F.lit(pct) * F.col("_previous"), F.lit(False)),
+        F.coalesce(
+            (F.col("_previous") > F.col(value_col))
+            & ((F.col("_previous") - F.col(value_col)) >= F.lit(pct) * F.col("_previous")),
+            F.lit(False),
+        ),
     )
     recent = F.sum(F.when(F.col("_drop"), 1).otherwise(0)).over(w.rowsBetween(-(days - 1), 0))
     return (
@@ -60,8 +87,12 @@ def missing_periods(df: DataFrame, date_col: str, keys: Sequence[str] = ()) -> D
 def volume_drop(
     df: DataFrame, ts_col: str, window: int = 7, ratio: float = 0.8, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Days whose row count is below ``ratio`` x the mean of the previous ``window`` days with rows."""
+    """Days whose row count is below ``ratio`` x the mean of the previous ``window`` days.
+
+    From the first day of a key to the last day of the table, days without rows count 0.
+    """
     daily = df.groupBy(*keys, F.to_date(ts_col).alias("date")).agg(F.count("*").alias("rows"))
+    daily = _with_absent_days(daily, "date", "rows", keys, 0)
     w = Window.partitionBy(*keys).orderBy("date").rowsBetween(-window, -1)
     return (
         daily.withColumn("trailing_mean", F.avg("rows").over(w))

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A side is only broadcast by hint after it has been shown to hold no more rows than this.
-BROADCAST_ROWS = 500_000
+# A side is only hinted for broadcast if the plan bounds its size by so many bytes.
+BROADCAST_BYTES = 64 << 20
 
 
 def dedup(
@@ -96,13 +96,14 @@ def outside_domain(df: DataFrame, column: str, domain: Sequence[str]) -> DataFra
     return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(*domain))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if ``df`` holds at most ``max_rows`` rows.
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only if the optimizer's size of ``df`` is at most ``max_bytes``.
 
-    The count runs on all executors and reads no columns of a stored table.  A larger side keeps its
-    plan, and Spark joins it by shuffle with adaptive skew handling.
+    The size comes from the plan (file sizes, row widths), so no job runs.  A larger side keeps its
+    plan, and Spark decides by its own byte threshold, with adaptive skew handling.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(size)) <= max_bytes else df
 
 
 def rows_of(*pairs: tuple[Column, Sequence[Column]], names: Sequence[str]) -> Column:

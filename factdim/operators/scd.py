@@ -79,8 +79,9 @@ def scd2_increment(
 
     Only runs that reached ``year`` - 1 take part in the join, one row per key on either side:
     unchanged runs grow by a period, changed ones stay closed beside a new run, new keys open a
-    run, keys without a snapshot stay closed.  Running a year again gives the same rows; a history
-    that is neither empty nor one (or zero) periods behind is refused.  Where the history ends is
+    run, keys without a snapshot stay closed.  Running a year again gives the same rows: the step of
+    ``year`` is taken back first.  A history that is neither empty nor one (or zero) periods behind is
+    refused.  Where the history ends is
     looked up, which is cheap in a table partitioned by ``period``, unless ``last_period`` tells.
     """
     last = last_period or history.select(F.max(period)).first()[0]
@@ -88,7 +89,13 @@ def scd2_increment(
         raise ValueError(f"history ends at {last}, cannot add {year}")
     names = [label] if label else []
     columns = [key, *names, *attrs, start, end]
-    base = history.filter(F.col(period) == year - 1)
+    if last == year:
+        # take the step back: runs opened in ``year`` go, runs that reached it end a period earlier
+        stamped = history.filter((F.col(period) == year) & (F.col(start) < year))
+        type_of_end = history.schema[end].dataType
+        base = stamped.withColumn(end, F.least(F.col(end), F.lit(year - 1)).cast(type_of_end))
+    else:
+        base = history.filter(F.col(period) == year - 1)
     closed = base.filter(F.col(end) < year - 1).select(*columns)
     o = base.filter(F.col(end) == year - 1).select(*columns).alias("o")
     s = snapshot.filter(F.col(period) == year).select(key, *names, *attrs).alias("s")

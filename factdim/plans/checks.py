@@ -124,60 +124,74 @@ FROM status s JOIN films f ON f.actorid = s.actorid AND f.year <= s.current_year
 WHERE s.current_year >= {{first_year}}
 GROUP BY ALL"""
 
+# A run starts where the year before has no equal status, and ends before the next start.
 _SCD = f"""
 WITH {STATUS},
-flags AS (
-  SELECT *, CASE WHEN quality_class IS DISTINCT FROM lag(quality_class) OVER w
-                   OR is_active IS DISTINCT FROM lag(is_active) OVER w THEN 1 ELSE 0 END AS change
-  FROM status WINDOW w AS (PARTITION BY actorid ORDER BY current_year)),
-runs AS (
-  SELECT *, sum(change) OVER (PARTITION BY actorid ORDER BY current_year) AS run FROM flags)
-SELECT actorid, actor, quality_class, is_active, min(current_year) AS start_year,
-       max(current_year) AS end_year, 2001 AS current_year
-FROM runs GROUP BY actorid, actor, run, quality_class, is_active"""
+starts AS (
+  SELECT n.* FROM status n
+  WHERE NOT EXISTS (
+    SELECT 1 FROM status b
+    WHERE b.actorid = n.actorid AND b.current_year = n.current_year - 1
+      AND b.quality_class = n.quality_class AND b.is_active = n.is_active)),
+last_years AS (SELECT actorid, max(current_year) AS last_year FROM status GROUP BY actorid)
+SELECT s.actorid, any_value(s.actor) AS actor, any_value(s.quality_class) AS quality_class,
+       any_value(s.is_active) AS is_active, s.current_year AS start_year,
+       coalesce(min(t.current_year) - 1, any_value(l.last_year)) AS end_year, 2001 AS current_year
+FROM starts s JOIN last_years l ON l.actorid = s.actorid
+LEFT JOIN starts t ON t.actorid = s.actorid AND t.current_year > s.current_year
+GROUP BY s.actorid, s.current_year"""
 
 # --- shared pieces ----------------------------------------------------------------------------
 
+# A team beats those whose points lie below its own in the game's sorted list of team points.
 _OUTCOMES = f"""{TWO_TEAM_GAMES},
 points AS (
-  SELECT team_abbreviation, game_id, sum(coalesce(pts, 0)) AS team_pts FROM games GROUP BY ALL),
+  SELECT game_id, team_id, 'T' || team_id AS team_abbreviation, coalesce(sum(pts), 0) AS own
+  FROM games GROUP BY game_id, team_id),
+boards AS (SELECT game_id, list_sort(list(own)) AS board FROM points GROUP BY game_id),
 outcomes AS (
-  SELECT a.team_abbreviation, a.game_id, CASE WHEN a.team_pts > b.team_pts THEN 1 ELSE 0 END AS win
-  FROM points a JOIN points b
-    ON a.game_id = b.game_id AND a.team_abbreviation <> b.team_abbreviation)"""
+  SELECT p.team_abbreviation, p.game_id, len(b.board) - 1 AS opponents, list_position(b.board, p.own) - 1 AS win
+  FROM points p JOIN boards b USING (game_id) WHERE len(b.board) > 1)"""
 
+# A streak is told from the number of misses before its games.
 _STREAKS = f"""
 WITH {GAMES},
-one AS (
-  SELECT game_id, player_name, pts FROM games
-  QUALIFY row_number() OVER (
-    PARTITION BY game_id, player_name ORDER BY pts NULLS FIRST) = 1),
-marked AS (
-  SELECT *, coalesce(pts, 0) > 10 AS hit FROM one),
-islands AS (
-  SELECT *, row_number() OVER (PARTITION BY player_name ORDER BY game_id)
-          - row_number() OVER (PARTITION BY player_name, hit ORDER BY game_id) AS island
-  FROM marked),
+best AS (
+  SELECT game_id, player_name, min_by(coalesce(pts, 0), coalesce(pts, -1)) AS pts
+  FROM games GROUP BY game_id, player_name),
+counted AS (
+  SELECT *, count(*) FILTER (pts <= 10) OVER (
+    PARTITION BY player_name ORDER BY game_id ROWS UNBOUNDED PRECEDING) AS misses
+  FROM best),
 runs AS (
-  SELECT player_name, count(*) AS games_in_row_over_10, min(game_id) AS streak_start_game,
+  SELECT player_name, misses, count(*) AS games_in_row_over_10, min(game_id) AS streak_start_game,
          max(game_id) AS streak_end_game
-  FROM islands WHERE hit GROUP BY player_name, island)
-SELECT * FROM runs {{where}}
-QUALIFY rank() OVER (PARTITION BY player_name ORDER BY games_in_row_over_10 DESC) = 1"""
-
+  FROM counted WHERE pts > 10 GROUP BY player_name, misses),
+longest AS (SELECT player_name, max(games_in_row_over_10) AS most FROM runs GROUP BY player_name)
+SELECT r.player_name, r.games_in_row_over_10, r.streak_start_game, r.streak_end_game
+FROM runs r JOIN longest l ON l.player_name = r.player_name AND l.most = r.games_in_row_over_10 {{where}}"""
+
+# One GROUP BY for each set.
+_SET_ROWS = """
+SELECT {player} AS player_name, {team} AS team_abbreviation, {season} AS season,
+       CAST(coalesce(sum(pts), 0) AS BIGINT) AS total_points, count(*) AS games_played,
+       {player_label} AS player_label, {team_label} AS team_label, {season_label} AS season_label
+FROM joined GROUP BY ALL"""
+
+_PLAYER = {"player": "player_name", "player_label": "player_name"}
+_TEAM = {"team": "team_abbreviation", "team_label": "team_abbreviation"}
+_SEASON = {"season": "season", "season_label": "CAST(season AS VARCHAR)"}
+_NOTHING = {
+    "player": "NULL::VARCHAR", "team": "NULL::VARCHAR", "season": "NULL::INTEGER",
+    "player_label": "'ALL_PLAYERS'", "team_label": "'ALL_TEAMS'", "season_label": "'ALL_SEASONS'",
+}
 _GROUPING_SETS = f"""
-WITH {GAMES},{SEASONS}
-SELECT g.player_name, g.team_abbreviation, s.season,
-       CAST(sum(coalesce(g.pts, 0)) AS BIGINT) AS total_points, count(*) AS games_played,
-       CASE WHEN grouping(g.player_name) = 1 THEN 'ALL_PLAYERS' ELSE g.player_name END
-         AS player_label,
-       CASE WHEN grouping(g.team_abbreviation) = 1 THEN 'ALL_TEAMS' ELSE g.team_abbreviation END
-         AS team_label,
-       CASE WHEN grouping(s.season) = 1 THEN 'ALL_SEASONS' ELSE CAST(s.season AS VARCHAR) END
-         AS season_label
-FROM games g JOIN player_seasons s ON g.player_name = s.player_name {{on_season}}
-GROUP BY GROUPING SETS ((g.player_name, g.team_abbreviation), (g.player_name, s.season),
-                        (g.team_abbreviation))"""
+WITH {GAMES},{SEASONS},
+joined AS (
+  SELECT g.player_name, g.team_abbreviation, s.season, g.pts
+  FROM games g, player_seasons s WHERE g.player_name = s.player_name {{on_season}})""" + " UNION ALL ".join(
+    _SET_ROWS.format(**(_NOTHING | columns)) for columns in (_PLAYER | _TEAM, _PLAYER | _SEASON, _TEAM)
+)
 
 _DAYS_TEXT = "string_agg(CAST(day AS VARCHAR), ',' ORDER BY day)"
 
@@ -268,10 +282,10 @@ for _cell, _share in CELLS.items():
 
 _CELLS = f"""
 hashed AS (
-  SELECT user_id, CAST('0x' || substr(md5('energy_mode|' || user_id), 1, 8) AS BIGINT) % 100 AS b
+  SELECT user_id, CAST('0x' || substr(md5('feed_layout|' || user_id), 1, 8) AS BIGINT) % 100 AS b
   FROM (SELECT DISTINCT user_id FROM events)),
 cells AS (
-  SELECT user_id, 'energy_mode' AS experiment, CASE {" ".join(_cases)} END AS cell FROM hashed)"""
+  SELECT user_id, 'feed_layout' AS experiment, CASE {" ".join(_cases)} END AS cell FROM hashed)"""
 
 _CENTS = "CAST(round(l_extendedprice * (1 - l_discount) * 100) AS BIGINT)"
 
@@ -299,44 +313,51 @@ GROUP BY g.player_name, s.season QUALIFY rank() OVER (ORDER BY total_points DESC
 WITH {_OUTCOMES}
 SELECT team_abbreviation, CAST(sum(win) AS BIGINT) AS total_wins FROM outcomes GROUP BY ALL""",
     "top_team_wins": f"""
-WITH {_OUTCOMES}
-SELECT team_abbreviation, CAST(sum(win) AS BIGINT) AS total_wins FROM outcomes
-GROUP BY team_abbreviation QUALIFY rank() OVER (ORDER BY total_wins DESC) = 1""",
+WITH {_OUTCOMES},
+totals AS (SELECT team_abbreviation, CAST(sum(win) AS BIGINT) AS total_wins FROM outcomes GROUP BY ALL)
+SELECT * FROM totals WHERE total_wins = (SELECT max(total_wins) FROM totals)""",
+    # 90 games by position: the difference of two running sums
     "max_wins_in_stretch": f"""
 WITH {_OUTCOMES},
-rolling AS (
-  SELECT team_abbreviation,
-         sum(win) OVER (PARTITION BY team_abbreviation ORDER BY game_id
-                        ROWS BETWEEN 89 PRECEDING AND CURRENT ROW) AS wins
-  FROM outcomes)
-SELECT team_abbreviation, CAST(max(wins) AS BIGINT) AS max_wins_in_90_games
-FROM rolling GROUP BY ALL""",
+single AS (SELECT team_abbreviation, game_id, win FROM outcomes WHERE opponents > 0),
+lists AS (SELECT team_abbreviation, list(win ORDER BY game_id) AS wins FROM single GROUP BY ALL),
+stretches AS (
+  SELECT team_abbreviation, list_sum(wins[greatest(i - 89, 1):i]) AS n
+  FROM lists, unnest(range(1, len(wins) + 1)) AS r(i))
+SELECT team_abbreviation, CAST(max(n) AS BIGINT) AS max_wins_in_90_games
+FROM stretches GROUP BY team_abbreviation""",
     "longest_streak_all_players": _STREAKS.format(where=""),
-    "longest_streak_one_player": _STREAKS.format(where="WHERE player_name = 'Player#7'"),
+    "longest_streak_one_player": _STREAKS.format(where="WHERE r.player_name = 'Player#7'"),
+    # from the first active season, the last one before and the one at hand
     "player_state": f"""
 WITH {PLAYERS},{SEASONS},
-seasons AS (SELECT DISTINCT season FROM player_seasons),
-grid AS (
-  SELECT p.player_name, s.season, a.season IS NOT NULL AS active
-  FROM (SELECT DISTINCT player_name FROM players) p CROSS JOIN seasons s
-  LEFT JOIN player_seasons a ON a.player_name = p.player_name AND a.season = s.season),
+numbered AS (SELECT season, row_number() OVER (ORDER BY season) AS nr FROM (SELECT DISTINCT season FROM player_seasons)),
+played AS (
+  SELECT player_name, list(n.nr) AS seasons
+  FROM player_seasons a JOIN numbered n USING (season)
+  WHERE player_name IN (SELECT player_name FROM players) GROUP BY player_name),
 seen AS (
-  SELECT *, lag(active) OVER w AS prev,
-         coalesce(bool_or(active) OVER (
-           PARTITION BY player_name ORDER BY season
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS ever
-  FROM grid WINDOW w AS (PARTITION BY player_name ORDER BY season))
+  SELECT p.player_name, n.season, n.nr - list_max(list_filter(p.seasons, lambda x: x < n.nr)) AS since,
+         list_contains(p.seasons, n.nr) AS active
+  FROM played p JOIN numbered n ON n.nr >= list_min(p.seasons))
 SELECT player_name, season,
-       CASE WHEN active AND NOT ever THEN 'New'
-            WHEN active AND prev THEN 'Continued Playing'
+       CASE WHEN since IS NULL THEN 'New'
+            WHEN since = 1 AND active THEN 'Continued Playing'
+            WHEN since = 1 THEN 'Retired'
             WHEN active THEN 'Returned from Retirement'
-            WHEN prev THEN 'Retired'
             ELSE 'Stayed Retired' END AS player_state
-FROM seen WHERE active OR ever""",
+FROM seen""",
     "actors_increment": _ACTORS.format(first_year=2001),
     "actors_backfill": _ACTORS.format(first_year=0),
     "actors_scd2_backfill": _SCD,
     "actors_scd2_increment": _SCD,
+    "actors_scd2_rerun": _SCD,
+    "segment_upsert": """
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
+       CAST(o_totalprice + CASE WHEN o_orderkey % 3 = 0 AND o_orderstatus = 'F' THEN 1 ELSE 0 END AS DOUBLE) AS price
+FROM orders
+UNION ALL
+SELECT -o_orderkey, NULL, CAST(o_totalprice + 1 AS DOUBLE) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 3 = 0""",
     "device_dates_increment": _DEVICE_LISTS,
     "device_dates_backfill": _DEVICE_LISTS,
     "device_dates_map": f"""
@@ -410,6 +431,18 @@ SELECT p.mapid, p.name AS map_name, count(*) AS medal_count
 FROM earned e JOIN medals n ON e.medal_id = n.medal_id AND n.name = 'Killing Spree'
 LEFT JOIN matches m ON e.match_id = m.match_id
 LEFT JOIN maps p ON m.mapid = p.mapid GROUP BY p.mapid, p.name""",
+    "layout_experiment": f"""
+WITH {MATCH_TABLES},
+fact AS (
+  SELECT m.playlist_id, p.mapid
+  FROM details d
+  LEFT JOIN matches m ON d.match_id = m.match_id
+  LEFT JOIN earned e ON d.match_id = e.match_id AND d.player_gamertag = e.player_gamertag
+  LEFT JOIN maps p ON m.mapid = p.mapid)
+SELECT 'by_playlist' AS layout, count(*) AS rows, count(DISTINCT coalesce(playlist_id, '-')) AS partition_values FROM fact
+UNION ALL SELECT 'by_map', count(*), count(DISTINCT coalesce(mapid, '-')) FROM fact
+UNION ALL
+SELECT 'by_both', count(*), count(DISTINCT coalesce(playlist_id, '-') || '|' || coalesce(mapid, '-')) FROM fact""",
     "sessions": f"WITH {_SESSIONS} SELECT * FROM closed",
     "sessions_stream": f"""
 WITH {_SESSIONS}
@@ -421,14 +454,22 @@ SELECT coalesce(host, 'ALL') AS host, count(*) AS sessions,
        avg(event_count) AS avg_events_per_session
 FROM closed GROUP BY GROUPING SETS ((host), ())""",
     "consecutive_drop_alert": """
-WITH daily AS (
-  SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS value FROM events GROUP BY ALL),
+WITH present AS (
+  SELECT CAST(ts AS DATE) AS date, event_type, user_id, count(*) AS value FROM events GROUP BY ALL),
+spine AS (
+  SELECT event_type, user_id, CAST(unnest(generate_series(min(date), (SELECT max(date) FROM present),
+                                                          INTERVAL 1 DAY)) AS DATE) AS date
+  FROM present GROUP BY event_type, user_id),
+daily AS (
+  SELECT s.*, coalesce(p.value, 0) AS value
+  FROM spine s LEFT JOIN present p USING (event_type, user_id, date)),
 steps AS (
-  SELECT a.date, a.event_type, a.value, b.value AS previous_value,
-         coalesce((b.value - a.value) >= CAST(0.05 AS DOUBLE) * b.value, false) AS fell
-  FROM daily a LEFT JOIN daily b ON b.event_type = a.event_type AND b.date = a.date - 1)
-SELECT s.event_type, s.date, s.value, s.previous_value
-FROM steps s JOIN steps t ON t.event_type = s.event_type AND t.date = s.date - 1
+  SELECT a.*, b.value AS previous_value,
+         a.value < b.value AND (b.value - a.value) >= CAST(0.2 AS DOUBLE) * b.value AS fell
+  FROM daily a JOIN daily b
+    ON b.event_type = a.event_type AND b.user_id = a.user_id AND b.date = a.date - 1)
+SELECT s.event_type, s.user_id, s.date, s.value, s.previous_value
+FROM steps s JOIN steps t ON t.event_type = s.event_type AND t.user_id = s.user_id AND t.date = s.date - 1
 WHERE s.fell AND t.fell""",
     "missing_days": f"""
 WITH {SITE},
@@ -439,12 +480,19 @@ spine AS (
 SELECT user_id, missing_date FROM spine
 WHERE (user_id, missing_date) NOT IN (SELECT (user_id, day) FROM site)""",
     "volume_drop": """
-WITH daily AS (
-  SELECT event_type, CAST(ts AS DATE) AS date, count(*) AS rows FROM events GROUP BY ALL),
+WITH present AS (
+  SELECT event_type, user_id, CAST(ts AS DATE) AS date, count(*) AS rows FROM events GROUP BY ALL),
+daily AS (
+  SELECT s.*, coalesce(p.rows, 0) AS rows
+  FROM (SELECT event_type, user_id,
+               CAST(unnest(generate_series(min(date), (SELECT max(date) FROM present), INTERVAL 1 DAY)) AS DATE) AS date
+        FROM present GROUP BY event_type, user_id) s
+  LEFT JOIN present p USING (event_type, user_id, date)),
 rated AS (
-  SELECT *, avg(rows) OVER (PARTITION BY event_type ORDER BY date
-                            ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS trailing_mean
-  FROM daily)
+  SELECT a.event_type, a.user_id, a.date, a.rows, avg(b.rows) AS trailing_mean
+  FROM daily a JOIN daily b
+    ON b.event_type = a.event_type AND b.user_id = a.user_id AND b.date BETWEEN a.date - 7 AND a.date - 1
+  GROUP BY ALL)
 SELECT * FROM rated WHERE rows < CAST(0.9 AS DOUBLE) * trailing_mean""",
     "schema_conformance": """
 SELECT 'event_id' AS column, true AS present, 'bigint' AS expected_type, 'bigint' AS actual_type,
@@ -524,7 +572,9 @@ marks AS (
          max(CASE WHEN s.day - f.cohort BETWEEN 1 AND 7 THEN 1 ELSE 0 END) AS w1,
          max(CASE WHEN s.day - f.cohort BETWEEN 22 AND 28 THEN 1 ELSE 0 END) AS w4
   FROM first f JOIN site s ON s.user_id = f.user_id GROUP BY ALL)
-SELECT cohort, count(*) AS users, sum(d7) / count(*) AS day_7_share,
-       sum(w1) / count(*) AS week_1_share, sum(w4) / count(*) AS week_4_share
+SELECT cohort, count(*) AS users,
+       CASE WHEN cohort + 7 <= (SELECT max(day) FROM site) THEN sum(d7) / count(*) END AS day_7_share,
+       CASE WHEN cohort + 7 <= (SELECT max(day) FROM site) THEN sum(w1) / count(*) END AS week_1_share,
+       CASE WHEN cohort + 28 <= (SELECT max(day) FROM site) THEN sum(w4) / count(*) END AS week_4_share
 FROM marks GROUP BY cohort""",
 }

@@ -153,6 +153,14 @@ def actors_scd2_increment(p: Practice) -> DataFrame:
     return op.scd2_increment(history, status, LAST_YEAR, last_period=LAST_YEAR - 1)
 
 
+@job
+def actors_scd2_rerun(p: Practice) -> DataFrame:
+    """The last year run again on the history that holds it already."""
+    status = op.backfill_actor_status(p.actor_films(), LAST_YEAR)
+    history = op.scd2_backfill(status, as_of=LAST_YEAR)
+    return op.scd2_increment(history, status, LAST_YEAR, last_period=LAST_YEAR)
+
+
 # --- site activity ----------------------------------------------------------------------------
 
 _DEVICE_KEYS = ["user_id", "browser_type"]
@@ -263,6 +271,21 @@ def monthly_array_upsert(p: Practice) -> DataFrame:
     return _text(stored, "hit_array", "unique_visitors")
 
 
+@job
+def segment_upsert(p: Practice) -> DataFrame:
+    """Orders by status, stored without a partition name for 'P' and updated in two partitions, one NULL."""
+    path = scratch_dir(p.spark, "orders_by_status")
+    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    orders = p.table("orders").select("o_orderkey", status.alias("status"), F.col("o_totalprice").alias("price"))
+    write_period(orders, path, ["status"])
+    updates = orders.filter((F.col("o_orderkey") % 3 == 0) & (F.col("status").isNull() | (F.col("status") == "F")))
+    updates = updates.filter(F.col("status").isNotNull()).unionByName(
+        updates.filter(F.col("status").isNull()).withColumn("o_orderkey", -F.col("o_orderkey"))
+    )
+    upsert_partitions(p.spark, path, updates.withColumn("price", F.col("price") + 1), ["o_orderkey", "status"], ["status"])
+    return p.spark.read.parquet(path).select("o_orderkey", "status", "price")
+
+
 # --- matches ----------------------------------------------------------------------------------
 
 
@@ -316,13 +339,23 @@ def top_killers_preview(p: Practice) -> DataFrame:
 
 @job
 def layout_experiment(p: Practice) -> DataFrame:
-    """Sizes depend on the writer, so this one has no SQL counterpart.
+    """Rows and partition values read back from every layout of the fact.
 
-    The fact is written once and every layout is made from that table.
+    The fact is written once and every layout is made from that table.  Sizes depend on the writer
+    (see ``compare_layouts``) and are left to the tests.
     """
     base = scratch_dir(p.spark, "layouts")
     match_fact(p).write.parquet(f"{base}/fact")
-    return compare_layouts(p.spark.read.parquet(f"{base}/fact"), LAYOUTS, base)
+    compare_layouts(p.spark.read.parquet(f"{base}/fact"), LAYOUTS, base)
+    found = []
+    for name, (partition_cols, _) in LAYOUTS.items():
+        per_value = p.spark.read.parquet(f"{base}/{name}").groupBy(*partition_cols).agg(F.count("*").alias("_n"))
+        found.append(
+            per_value.agg(
+                F.lit(name).alias("layout"), F.sum("_n").alias("rows"), F.count("*").alias("partition_values")
+            )
+        )
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 # --- sessions ---------------------------------------------------------------------------------
@@ -352,17 +385,14 @@ def session_stats(p: Practice) -> DataFrame:
 # --- data checks ------------------------------------------------------------------------------
 
 
-def _signups(p: Practice) -> DataFrame:
-    return (
+@job
+def consecutive_drop_alert(p: Practice) -> DataFrame:
+    daily = (
         p.table("events")
-        .groupBy(F.to_date("ts").alias("date"), "event_type")
+        .groupBy(F.to_date("ts").alias("date"), "event_type", "user_id")
         .agg(F.count("*").alias("value"))
     )
-
-
-@job
-def consecutive_drop_alert(p: Practice) -> DataFrame:
-    return op.consecutive_drop_alert(_signups(p), pct=0.05, keys=["event_type"])
+    return op.consecutive_drop_alert(daily, keys=["event_type", "user_id"])
 
 
 @job
@@ -372,7 +402,7 @@ def missing_days(p: Practice) -> DataFrame:
 
 @job
 def volume_drop(p: Practice) -> DataFrame:
-    return op.volume_drop(p.table("events"), "ts", 7, 0.9, ["event_type"])
+    return op.volume_drop(p.table("events"), "ts", 7, 0.9, ["event_type", "user_id"])
 
 
 EXPECTED_EVENTS = T.StructType(
@@ -435,7 +465,7 @@ def engagement(p: Practice) -> DataFrame:
 
 
 def _cells(p: Practice) -> DataFrame:
-    return op.assign_cells(p.table("events"), "energy_mode", CELLS)
+    return op.assign_cells(p.table("events"), "feed_layout", CELLS)
 
 
 @job

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # somebody else built, so none of them is a static setting.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -68,7 +69,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_scratch.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="factdim-")
-        )
+        if context.applicationId not in _local_scratch:
+            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="factdim-")
+        base = _local_scratch[context.applicationId]
     return f"{base.rstrip('/')}/factdim/{label}-{uuid.uuid4().hex}"

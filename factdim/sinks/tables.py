@@ -30,10 +30,6 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     return target.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates)
 
 
-# A static filter names at most this many partitions; with more, the table is semi-joined.
-MAX_NAMED_PARTITIONS = 1000
-
-
 def upsert_partitions(
     spark: SparkSession,
     path: str,
@@ -44,9 +40,11 @@ def upsert_partitions(
 ) -> None:
     """Upsert into a partitioned parquet table, rewriting only partitions that get updates.
 
-    ``partition_cols`` are part of the key, so an update never moves a row between partitions.
-    ``touched`` names the partitions with updates, e.g. ``[{"month": date(2024, 1, 1)}]``; otherwise
-    they are looked up in ``updates``.  Old files are replaced when the job commits.
+    ``partition_cols`` are part of the key, so an update never moves a row between partitions.  The
+    stored rows of the partitions in ``updates`` are kept by a null-safe semi-join, whatever their
+    number.  ``touched`` names the partitions with updates, e.g. ``[{"month": date(2024, 1, 1)}]``, so
+    that the stored table is pruned to them; updates outside of them are refused.  Old files are
+    replaced when the job commits.
     """
     missing = [c for c in partition_cols if c not in keys]
     if missing:
@@ -58,20 +56,21 @@ def upsert_partitions(
             raise
         write_period(updates, path, partition_cols)  # the first load
         return
-    if touched is None:
-        values = updates.select(*partition_cols).distinct()
-        touched = [r.asDict() for r in values.limit(MAX_NAMED_PARTITIONS + 1).collect()]
-    if len(touched) > MAX_NAMED_PARTITIONS:
-        wanted = updates.select(*partition_cols).distinct()
-        target = stored.join(wanted, list(partition_cols), "left_semi")
-    else:
+    if touched is not None:
         named = F.lit(False)
         for values in touched:
             one = F.lit(True)
             for column in partition_cols:
                 one = one & F.col(column).eqNullSafe(F.lit(values[column]))
             named = named | one
-        target = stored.filter(named)
+        if not updates.filter(~named).isEmpty():
+            raise ValueError("updates hold rows outside the partitions named in touched")
+        stored = stored.filter(named)
+    wanted = updates.select(*[F.col(c).alias(f"_w_{c}") for c in partition_cols]).distinct()
+    same = F.lit(True)
+    for column in partition_cols:
+        same = same & F.col(column).eqNullSafe(F.col(f"_w_{column}"))
+    target = stored.join(wanted, same, "left_semi")
     write_period(upsert(target.select(*updates.columns), updates, keys), path, partition_cols)
 
 

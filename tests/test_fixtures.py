@@ -335,7 +335,8 @@ def test_growth_and_retention(spark):
         7: (0, 0, 0, 0, 2, 0, 0), 8: (1, 0, 0, 0, 2, 1, 1),
     }
     shares = {r.cohort.day: (r.users, r.day_7_share, r.week_1_share) for r in op.retention(events).collect()}
-    assert shares == {1: (1, 0.0, 1.0), 2: (1, 0.0, 0.0), 8: (1, 0.0, 0.0)}
+    # the last day is the 8th: day 7 of the later cohorts has not happened
+    assert shares == {1: (1, 0.0, 1.0), 2: (1, None, None), 8: (1, None, None)}
     engaged = {r.date.day: (r.dau, r.mau) for r in op.engagement(events, window=3).collect()}
     assert engaged == {
         1: (1, 1), 2: (2, 2), 3: (0, 2), 4: (0, 2), 5: (1, 1), 6: (0, 1), 7: (0, 1), 8: (1, 1),
@@ -396,6 +397,10 @@ def test_experiments(spark):
     assert (out["A"].mean, out["A"].variance, out["A"].lift) == (3.0, 2.0, None)
     assert (out["B"].mean, out["B"].lift, out["B"].welch_z) == (0.0, -1.0, -3.0)
     assert (out["C"].users, out["C"].variance, out["C"].welch_z) == (1, None, None)
+    users = table(spark, "user_id int, experiment string, cell string", *[(i, "e", "A") for i in range(3)])
+    large = table(spark, "user_id int, v double, n bigint", *[(i, 1e9 + 2 * i, 3_000_000_000 + i) for i in range(3)])
+    out = {r.metric: r for r in op.cell_metrics(users, large, {"v": F.sum("v"), "n": F.sum("n")}, "A").collect()}
+    assert (out["v"].variance, out["n"].variance) == (4.0, 1.0)
 
 
 def test_quality_checks(spark):
@@ -405,10 +410,13 @@ def test_quality_checks(spark):
         (D(2024, 1, 6), 10), (D(2024, 1, 7), 8), (D(2024, 1, 8), 6),
     )
     assert [r.date.day for r in op.consecutive_drop_alert(daily).collect()] == [3, 8]
+    gap = table(spark, "date date, value int", (D(2024, 1, 1), 100), (D(2024, 1, 2), 50), (D(2024, 1, 4), 10))
+    assert [r.date.day for r in op.consecutive_drop_alert(gap).collect()] == [3]
+    assert op.consecutive_drop_alert(gap, absent=None).collect() == []
     missing = op.missing_periods(daily, "date")
     assert rows(missing) == [(D(2024, 1, 5),)]
     stamped = daily.select(F.explode(F.sequence(F.lit(1), "value")).alias("i"), F.col("date").alias("ts"))
-    assert [r.date.day for r in op.volume_drop(stamped, "ts", 2, 0.5).collect()] == [6, 7]
+    assert [r.date.day for r in op.volume_drop(stamped, "ts", 2, 0.5).collect()] == [5, 6]
     report = {r.column: r for r in op.schema_conformance(
         table(spark, "a string, b int", ("1", None), ("x", 2), (None, 3), ("4", 4)),
         schemas.T.StructType.fromDDL("a int, c string"),
@@ -426,3 +434,31 @@ def test_profit(spark):
     )
     assert [r.profit_cents for r in op.unit_profit(lines).collect()] == [9000, 3]
     assert rows(op.aggregate_profit(lines)) == [(D(2024, 1, 1), 2, 9003)]
+
+
+def test_increments_refuse_a_skipped_period(spark):
+    films = table(
+        spark, "actor string, actorid string, film string, year int, votes int, rating int, filmid string",
+        ("A", "a", "x", 1999, 1, 8, "f1"), ("B", "b", "y", 1999, 1, 8, "f2"), ("A", "a", "z", 2001, 1, 8, "f3"),
+    )
+    first = op.backfill_actors(films, 1999)
+    with pytest.raises(ValueError):
+        op.cumulate_actors(first, films, 2001)
+    second = op.cumulate_actors(first, films, 2000)
+    assert {r.actorid for r in op.cumulate_actors(second, films, 2001).collect()} == {"a", "b"}
+    assert op.cumulate_actors(first.limit(0), films, 1999).count() == 2
+    events = table(spark, "k string, event_time timestamp_ntz", ("a", dt.datetime(2024, 1, 1, 5)), ("b", dt.datetime(2024, 1, 3, 5)))
+    lists = op.backfill_dates(events, ["k"], D(2024, 1, 1), D(2024, 1, 1))
+    with pytest.raises(ValueError):
+        op.cumulate_dates(lists, events, ["k"], D(2024, 1, 3))
+
+
+def test_history_increment_again(spark):
+    status = table(
+        spark, "actor string, actorid string, quality_class string, is_active boolean, current_year int",
+        ("A", "a", "good", True, 1999), ("A", "a", "good", True, 2000), ("A", "a", "bad", True, 2001),
+        ("B", "b", "good", True, 2000), ("B", "b", "good", True, 2001), ("C", "c", "star", True, 2001),
+    )
+    history = op.scd2_backfill(status, as_of=2001)
+    again = op.scd2_increment(history, status, 2001)
+    assert sorted(map(str, again.select(history.columns).collect())) == sorted(map(str, history.collect()))

@@ -8,6 +8,7 @@ import __spark_entry__ as entry_points
 FOLDER = "/root/testdata/sf0.01"
 QUERIES = entry_points.queries()
 SQL = entry_points.oracle_sql()
+JOBS, CHECKS = entry_points.JOBS, entry_points.CHECKS
 
 
 @pytest.fixture(scope="module")
@@ -17,19 +18,13 @@ def con():
 
 def test_every_check_has_a_job():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"layout_experiment"}
+    assert set(JOBS) == set(CHECKS)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(CHECKS))
 def test_job_matches_sql(spark, con, name):
     assert differences(QUERIES[name](spark, FOLDER), con, SQL[name]) == []
 
 
-def test_layout_experiment(spark):
-    rows = QUERIES["layout_experiment"](spark, FOLDER).collect()
-    assert {r.layout for r in rows} == {"by_playlist", "by_map", "by_both"}
-    assert all(r.files > 0 and r.bytes > 0 for r in rows)
-
-
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0

@@ -58,9 +58,9 @@ def test_match_fact_broadcasts_only_small_names(practice):
     for key in ("medal_id", "_mapid"):
         assert len(re.findall(rf"BroadcastHashJoin \[{key}#", plan)) == 1
     large = practice.spark.range(100).withColumnRenamed("id", "k")
-    hinted = op.checked_broadcast(large, 100)._jdf.queryExecution().analyzed().toString()
+    hinted = op.checked_broadcast(large, 800)._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint (strategy=broadcast)" in hinted
-    assert "ResolvedHint" not in op.checked_broadcast(large, 99)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in op.checked_broadcast(large, 799)._jdf.queryExecution().analyzed().toString()
 
 
 def test_dedup_and_leaders_drop_rows_before_the_shuffle(practice):
@@ -114,7 +114,7 @@ def test_large_dimension_joins_by_shuffle_with_the_same_rows(practice, monkeypat
     small = [sorted(map(str, df.collect())) for df in reports()]
     assert small[0] == small[1]
     monkeypatch.setattr(
-        matches, "checked_broadcast", lambda df: relational.checked_broadcast(df, max_rows=3)
+        matches, "checked_broadcast", lambda df: relational.checked_broadcast(df, max_bytes=3)
     )
     threshold = practice.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     practice.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

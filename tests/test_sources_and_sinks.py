@@ -71,7 +71,7 @@ def test_write_period_replaces_only_its_partitions(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [(1, 1), (2, 1), (9, 2)]
 
 
-def test_upsert(spark, tmp_path, monkeypatch):
+def test_upsert(spark, tmp_path):
     old = table(spark, "k int, m int, v string", (1, 1, "a"), (2, 1, "b"), (3, 2, "c"))
     new = table(spark, "k int, m int, v string", (2, 1, "B"), (4, 1, "D"))
     merged = [(1, 1, "a"), (2, 1, "B"), (3, 2, "c"), (4, 1, "D")]
@@ -85,13 +85,23 @@ def test_upsert(spark, tmp_path, monkeypatch):
     assert sorted(f.name for f in (tmp_path / "u" / "m=2").iterdir()) == untouched
     upsert_partitions(spark, path, new, ["k", "m"], ["m"], [{"m": 1}])
     assert rows(spark.read.parquet(path).select("k", "m", "v")) == merged
-    monkeypatch.setattr(tables, "MAX_NAMED_PARTITIONS", 0)
-    upsert_partitions(spark, path, new, ["k", "m"], ["m"])
+    # an update outside the named partitions is refused and nothing is lost
+    with pytest.raises(ValueError):
+        upsert_partitions(spark, path, table(spark, "k int, m int, v string", (9, 2, "z")), ["k", "m"], ["m"], [{"m": 1}])
     assert rows(spark.read.parquet(path).select("k", "m", "v")) == merged
     with pytest.raises(ValueError):
         upsert_partitions(spark, path, new, ["k"], ["m"])
 
 
+def test_upsert_keeps_the_null_partition(spark, tmp_path):
+    schema = "k int, m int, v string"
+    path = str(tmp_path / "n")
+    write_period(table(spark, schema, (1, None, "a"), (2, None, "b"), (3, 1, "c")), path, ["m"])
+    upsert_partitions(spark, path, table(spark, schema, (4, None, "d"), (3, 1, "C"), (5, 2, "e")), ["k", "m"], ["m"])
+    stored = spark.read.parquet(path).select("k", "m", "v").collect()
+    assert sorted((r.k, r.m, r.v) for r in stored) == [(1, None, "a"), (2, None, "b"), (3, 1, "C"), (4, None, "d"), (5, 2, "e")]
+
+
 def test_bucketed_join_is_shuffle_free(spark, tmp_path):
     def stored(name, schema, *data):
         write_bucketed(table(spark, schema, *data), name, 16, "match_id", str(tmp_path / name))
