@@ -16,20 +16,23 @@ import re
 import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers.pre_tokenizers import ByteLevel
 
 from factdim.llm.characters import SPACE, is_settled
 from factdim.llm.common import ids_and_texts, settle, text_or_empty, tokenizer_at
 
 #: White space for Python, but not for the tokenizer: texts with these are not split beforehand.
-ODD = re.compile("[\x1c-\x1f]")
+ODD = "\x1c\x1d\x1e\x1f"
+
+# Fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others for 256, 257, ...
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 
 # Fixed value: the split pattern of the tokenizer with word ends, applied to lower-case words.
 PART = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
@@ -41,6 +44,21 @@ CACHE_WORDS = 800_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, salt int"
 
 
+class Generation(dict):
+    """Ids of words by word; a missing word comes from the generation before or is worked out."""
+
+    def __init__(self, work_out: Callable[[str], bytes], before: dict[str, bytes]) -> None:
+        self.work_out = work_out
+        self.before = before
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.work_out(word)
+        self[word] = ids
+        return ids
+
+
 class WordIds:
     """Ids of a text as little-endian bytes; a distinct word goes through the tokenizer once in a while.
 
@@ -51,12 +69,12 @@ class WordIds:
     def __init__(self, path: str) -> None:
         self.tokenizer = tokenizer_at(path)
         self.merge = self.tokenizer.model.tokenize
-        self.as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.has_special = re.compile("|".join(special) or "(?!)").search
+        self.known = Generation(self._ids, {})
+        self.short: dict[str, bytes] = {}  # ids of single characters: marks and digits
 
-    def _ids(self, word: str) -> list[int]:
+    def _ids(self, word: str) -> bytes:
         """The library's steps for one word: compose, lower, split, merge; or the library itself."""
         if word.isascii():
             parts = PART_ASCII.findall(word.lower())
@@ -65,31 +83,29 @@ class WordIds:
             parts = PART.findall(unicodedata.normalize("NFC", word).replace("\u03a3", "\u03c3").lower())
         else:
             parts = None
-        if parts is None or any(s in word for s in self.special):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        ids = []
+        if parts is None or self.has_special(word):
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        data = b""
         for part in parts:
-            if not (part.isascii() and part.isprintable()):
-                part = self.as_bytes(part)[0][0]
-            ids += [t.id for t in self.merge(part)]
-        return ids
-
-    def _learn(self, words: Iterable[str]) -> None:
-        for w in words:
-            ids = self.before.get(w)
+            ids = self.short.get(part)
             if ids is None:
-                ids = array("I", self._ids(w)).tobytes()
-            self.known[w] = ids
+                letters = part
+                if not (part.isascii() and part.isprintable()):
+                    letters = part.encode().decode("latin-1").translate(BYTE_LETTERS)
+                ids = array("I", [t.id for t in self.merge(letters)]).tobytes()
+                if len(part) == 1:
+                    self.short[part] = ids
+            data += ids
+        return data
 
     def __call__(self, text: str) -> bytes:
-        words = [text] if ODD.search(text) else text.split()
+        words = [text] if any(c in text for c in ODD) else text.split()
         out = []
         for at in range(0, len(words), CACHE_WORDS):
-            part = words[at : at + CACHE_WORDS]
             if len(self.known) > CACHE_WORDS:
-                self.before, self.known = self.known, {}
-            self._learn([w for w in set(part) if w not in self.known])
-            out += map(self.known.__getitem__, part)
+                self.known.before = {}
+                self.known = Generation(self._ids, self.known)
+            out += map(self.known.__getitem__, words[at : at + CACHE_WORDS])
         return b"".join(out)
 
 
