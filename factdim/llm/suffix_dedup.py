@@ -65,8 +65,12 @@ class Documents:
         texts = [v.as_buffer().to_pybytes() for v in table.column("text")]
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
         self.ids, self.texts = [ids[i] for i in order], [texts[i] for i in order]
-        copies = set(_joined(notes, "copy", "a", "<i8").tolist())
-        self.copied = [i in copies for i in self.ids]
+        ids = _joined(notes, "copy", "a", "<i8").tolist()
+        digests = _joined(notes, "copy", "b", "V16").tolist()
+        copies, copied_ids = set(zip(ids, digests, strict=True)), set(ids)
+        self.copied = [
+            i in copied_ids and (i, hashlib.sha256(t).digest()[:16]) in copies for i, t in zip(self.ids, self.texts, strict=True)
+        ]
         self.active = np.array(
             [k for k, i in enumerate(self.ids) if i is not None and not self.copied[k]], np.int64
         )
@@ -311,14 +315,17 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False,
         digests.where(F.col("n") >= length)
         .join(first, "digest")
         .where(F.col("doc_id") > F.col("first"))
-        .select("doc_id", group_of.alias("grp"))
+        .select("doc_id", F.unhex(F.substring("digest", 1, 32)).alias("digest"), group_of.alias("grp"))
         .distinct()
     )
-    # ids of exact copies, packed by group: the whole text goes, and its strings are those of the first copy
-    packed = copies.groupBy("grp").applyInArrow(
-        lambda key, t: _notes([(key[0].as_py(), key[0].as_py(), "copy", t.column("doc_id").to_numpy())]), NOTE
-    )
-    copied = settle(packed, "copies")
+
+    # exact copies (id and half the digest), packed by group: the whole text goes, and its strings are those
+    # of the first copy; other texts of the same id are judged on their own
+    def pack(key, t):
+        digests = np.frombuffer(b"".join(t.column("digest").to_pylist()), "V16")
+        return _notes([(key[0].as_py(), key[0].as_py(), "copy", t.column("doc_id").to_numpy(), digests)])
+
+    copied = settle(copies.groupBy("grp").applyInArrow(pack, NOTE), "copies")
 
     grouped = texts.withColumn("grp", group_of)
     meet = lambda notes: grouped.groupBy("grp").cogroup(notes.groupBy("grp"))

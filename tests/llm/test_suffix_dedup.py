@@ -60,6 +60,20 @@ def test_removal_equals_brute_force(spark):
         bytes(r.kept).decode()  # no character is cut in two
 
 
+def test_a_copied_text_marks_only_itself(spark):
+    """Of two texts under one id only the one that copies a smaller id goes; the other stays and is a source."""
+    rng = random.Random(8)
+    a, b = ("".join(rng.choices("abcdefgh ", k=300)) for _ in range(2))
+    rows = [(2, a), (5, a), (5, b), (7, "x" + b[40:200]), (7, a), (None, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for case in (df.limit(3), df):
+        texts = [(r.doc_id, r.text.encode()) for r in case.collect()]
+        for group_bytes in (1 << 22, 300):
+            got = remove_repeats(case, length=50, group_bytes=group_bytes).collect()
+            found = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=str)
+            assert found == brute(texts, 50)
+
+
 def test_whole_characters():
     text = "aé☃".encode()
     gone = np.array([1, 1, 0, 1, 1, 1], bool)
