@@ -3,7 +3,7 @@
 A table hashes a vector to the cell of a grid over a few Gaussian projections.  Neighbours that miss the
 query's own cell lie in cells next to it, so a query visits the cells of a table in the order of their
 estimated success (the squared distance from its projections to the cell) until they hold a given share
-of the rows.  The candidates of all tables are merged and ranked by exact distance.
+of the rows, and enough of them to give the neighbours asked for.  The candidates of all tables are merged and ranked by exact distance.
 """
 
 from __future__ import annotations
@@ -49,8 +49,9 @@ class Grid:
         slot = np.clip(np.floor(self.project(vectors)), -half, half - 1).astype(np.int64) + half
         return slot @ self.slots ** np.arange(self.width)
 
-    def visits(self, projected: np.ndarray, cells: np.ndarray, counts: np.ndarray, share: float) -> np.ndarray:
-        """Which ``cells`` of a table each projected query visits (queries x cells)."""
+    def visits(self, projected: np.ndarray, cells: np.ndarray, counts: np.ndarray, share: float, least: int) -> np.ndarray:
+        """Which ``cells`` of a table each projected query visits (queries x cells): as many as hold both
+        ``share`` of the rows and ``least`` rows, or all."""
         half = self.slots // 2
         slot = cells[:, None] // self.slots ** np.arange(self.width) % self.slots - half
         low = np.where(slot == -half, -np.inf, slot)
@@ -62,7 +63,7 @@ class Grid:
         order = np.argsort(cost, 1, kind="stable")
         seen = np.cumsum(counts[order], 1) - counts[order]
         out = np.zeros(cost.shape, bool)
-        np.put_along_axis(out, order, seen < share * counts.sum(), 1)
+        np.put_along_axis(out, order, seen < max(share * counts.sum(), least), 1)
         return out
 
 
@@ -89,7 +90,8 @@ def nearest(
     length never meet.  Other columns are ignored; an empty table gives no rows.
 
     Every row is indexed, in ``tables`` tables.  ``share`` is the part of the rows a query visits in
-    each table: more finds more.  The cells' row counts (at most slots ** width a table) are the only thing
+    each table: more finds more.  At least ``k`` + 1 rows of its length are visited, so every query gets ``k``
+    neighbours, or all there are.  The cells' row counts (at most slots ** width a table) are the only thing
     all tasks share.  Distances above half the largest double are reported as infinity.
     """
     spark = rows.sparkSession
@@ -137,7 +139,7 @@ def nearest(
                 projected = grid.project(matrix(group["embedding"]))
                 packed: list[list[bytes]] = [[] for _ in range(len(group))]
                 for t, (codes, counts) in enumerate(shared.value.get(dim, [])):
-                    bits = np.packbits(grid.visits(projected[:, t], codes, counts, share), axis=1)
+                    bits = np.packbits(grid.visits(projected[:, t], codes, counts, share, k + 1), axis=1)
                     for q, row in enumerate(bits):
                         packed[q].append(row.tobytes())
                 yield pa.RecordBatch.from_arrays(

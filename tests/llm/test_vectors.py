@@ -52,6 +52,20 @@ def test_nearest_visiting_everything_equals_brute_force(spark):
         assert got[k][0] == i and math.isclose(got[k][1], d, rel_tol=1e-12, abs_tol=1e-300)
 
 
+def test_small_tables_and_rare_lengths_give_all_neighbours(spark):
+    """With the registered parameters: k neighbours each, and the exact ones where k hold the whole group."""
+    rng = np.random.default_rng(6)
+    for n, rest in ((3, 0), (8, 0), (20, 0), (8, 400)):
+        rows = [(100 * i, rng.normal(0, 0.4, 8).tolist(), "x") for i in range(n)]
+        rows += [(100_000 + i, rng.normal(0, 0.4, 16).tolist(), "x") for i in range(rest)]
+        got = nearest(spark.createDataFrame(rows, SCHEMA), k=10, every=100).collect()
+        for q, v, _ in rows[:n]:
+            near = sorted((math.dist(v, w), i) for i, w, _ in rows[:n] if i != q)
+            found = [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])]
+            assert len(found) == min(10, n - 1)
+            assert n > 11 or found == [i for _, i in near]
+
+
 def test_recall(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     got = nearest(df, k=10, every=10).collect()
