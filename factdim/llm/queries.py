@@ -16,9 +16,12 @@ from factdim.llm.mixing import mix
 from factdim.llm.near_dup import near_duplicates
 from factdim.llm.nearest import nearest
 from factdim.llm.packing import pack_sequences
+from factdim.llm.periodic_runs import periodic_runs
+from factdim.llm.spelling import spelling_variants
 from factdim.llm.suffix_dedup import remove_repeats
 from factdim.llm.token_counts import token_counts
 from factdim.llm.toxicity import toxicity
+from factdim.llm.window_dedup import remove_windows
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,6 +68,21 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(load(spark, folder, "documents"), path, limit=512)
 
 
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the windows of 13 words that a smaller id has; see ``remove_windows`` for nulls, ties and repeats."""
+    return remove_windows(load(spark, folder, "documents"), words=13).drop("kept", "spans")
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every text, planted ones included; see ``periodic_runs`` for nulls, ties and repeats."""
+    return periodic_runs(load(spark, folder, "documents"), plant=True).drop("runs")
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all texts and what they are variants of; see ``spelling_variants`` for nulls, ties and repeats."""
+    return spelling_variants(load(spark, folder, "documents"), least_length=5, least_count=3, factor=2, slip=97)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_model": op2_language_model,
@@ -76,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 #: Inner products of quantised vectors, ranked.

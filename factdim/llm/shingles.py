@@ -33,11 +33,11 @@ def _powers(base: int, n: int) -> np.ndarray:
 BLOCK = 1 << 20
 
 
-def _block_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _block_hashes(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the words of a block; a hash is a polynomial read off prefix sums."""
     edges = np.flatnonzero(np.diff(np.concatenate([[True], _IS_SPACE[data], [True]]).astype(np.int8)))
     starts, ends = edges[0::2], edges[1::2]
-    terms = _BYTE[_LOWER[data]]
+    terms = _BYTE[_LOWER[data] if lower else data]
     terms *= _powers(_MULTIPLIER, len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(terms, out=sums[1:])
@@ -45,10 +45,10 @@ def _block_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: Sequence[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of every text, and where each text's words begin (one more entry than texts).
 
-    Words are runs of bytes other than ASCII white space, A-Z lowered.
+    Words are runs of bytes other than ASCII white space, A-Z lowered unless ``lower`` is off.
     """
     data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     starts, hashes, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
@@ -57,7 +57,7 @@ def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
         while not _IS_SPACE[data[end - 1]]:  # every text ends in a space
             gap = np.flatnonzero(_IS_SPACE[data[end : end + BLOCK]])
             end = end + int(gap[0]) + 1 if len(gap) else min(end + BLOCK, len(data))
-        s, h = _block_hashes(data[at:end])
+        s, h = _block_hashes(data[at:end], lower)
         starts.append(s + at)
         hashes.append(h)
         at = end
