@@ -28,7 +28,7 @@ from .monthly import (
     monthly_array_increment,
     monthly_array_totals,
 )
-from .ordered import Cuts, chunk_of, find_cuts, rolling_sum, running_totals
+from .ordered import rolling_sum, running_totals, slot_of
 from .quality import (
     consecutive_drop_alert,
     freshness,

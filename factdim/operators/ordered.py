@@ -1,138 +1,98 @@
 """Running totals and rolling sums that survive a hot key.
 
-A plain window puts every row of a key into one task.  Keys that hold too many rows are found by
-counting; the ordering column of their rows is cut into ranges of about equal row counts.  Each
-(hot key, range) is summed by its own task, and the totals of the earlier ranges, one row per hot
-key and range, are added afterwards.  The result equals the plain window exactly, whatever the cuts.
+A plain window puts every row of a key into one task.  Here the ordering column is cut into slots of a fixed
+width, and sums are made on two levels: inside (key, slot), each by a task of its own, and over the slots of a
+key, one row each, whose sums of earlier slots are added afterwards.  The plan is the same for every input:
+nothing is counted or brought to the driver while it is built.  The result equals the plain window exactly, whatever
+the width; a slot holds as many rows of a key as have order values in its range, so the width bounds a
+task where ordering values are unique per key.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-ROWS_PER_CHUNK = 4_000_000
-MAX_CHUNKS = 8192
-MAX_HOT_KEYS = 10_000
+#: Units of the ordering column in a slot: numbers, days of a date, seconds of a timestamp.
+SLOT_WIDTH = 1_000_000
+#: Rows of a key that a task of a rolling sum holds, besides those it borrows from the block before.
+BLOCK_ROWS = 1_000_000
 
+_UPTO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
-@dataclass(frozen=True)
-class Cuts:
-    """Hot keys (a small table of key values) and the points at which to cut their rows."""
 
-    hot: DataFrame
-    values: Sequence
-    rows_per_chunk: int
+def slot_of(df: DataFrame, order: str, slots: int | Column = SLOT_WIDTH) -> Column:
+    """The slot of a row: it never falls along ``order``, and is NULL where ``order`` is.
 
-
-def find_cuts(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-    max_chunks: int = MAX_CHUNKS,
-) -> Cuts | None:
-    """Cuts for the keys with more than ``rows_per_chunk`` rows in ``df``; None if there are none.
-
-    A small ``df`` costs one count.  A key is hot when it holds more than ``rows_per_chunk`` rows
-    and more than 1/``MAX_HOT_KEYS`` of all rows, so fewer than ``MAX_HOT_KEYS`` keys and at most
-    ``max_chunks`` cut points ever reach the driver.  ``df`` may be the rows before a reduction:
-    then the counts are upper bounds.
+    ``slots`` is the width of a slot for whole numbers, decimals, dates (days) and timestamps (seconds).  Any
+    other ordering column, such as text, needs a column expression that rises with it, for example its
+    first letters; without one it is refused.
     """
-    total = df.count()
-    if total <= rows_per_chunk:
-        return None
-    threshold = max(rows_per_chunk, total // MAX_HOT_KEYS)
-    keyed = df.dropna(subset=list(keys))
-    counts = (
-        keyed.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > threshold)
-    ).collect()
-    if not counts:
-        return None
-    schema = keyed.select(*keys).schema
-    hot = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in counts], schema)
-    chunks = min(max_chunks, math.ceil(sum(r["_rows"] for r in counts) / rows_per_chunk))
-    probabilities = [i / chunks for i in range(1, chunks)]
-    values = (
-        keyed.join(F.broadcast(hot), list(keys), "left_semi")
-        .select(F.percentile_approx(order, probabilities, max(10_000, 20 * chunks)))
-        .first()[0]
-    )
-    return Cuts(hot, sorted(set(values or [])), rows_per_chunk)
-
-
-def chunk_of(order: Column, cuts: Sequence) -> Column:
-    """Number of cuts that are <= ``order`` (0 for NULL), by binary search inside the row."""
-    if not cuts:
-        return F.lit(0)
-    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
-    values = F.array(*[_literal(c) for c in cuts])
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(order >= F.get(values, at + step - 1), at + step).otherwise(at),
-    )
-
-
-def _literal(value) -> Column:
-    if isinstance(value, dt.datetime) and value.tzinfo is None:
-        return F.lit(value).cast("timestamp_ntz")
-    return F.lit(value)
+    if isinstance(slots, Column):
+        return slots
+    if slots < 1:
+        raise ValueError("a slot is at least one unit wide")
+    kind, value = df.schema[order].dataType, F.col(order)
+    if isinstance(kind, T.DateType):
+        value = F.datediff(value, F.lit("1970-01-01").cast("date"))
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        value = F.unix_seconds(value.cast("timestamp"))
+    elif not isinstance(kind, (T.IntegralType, T.DecimalType)):
+        raise TypeError(f"{order} is {kind.simpleString()}: name its slots by a column that rises with it")
+    return F.floor(value / F.lit(slots)) if isinstance(kind, T.DecimalType) else F.call_function(
+        "div", value, F.lit(slots)
+    )
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in columns]
 
 
+def slot_offsets(slotted: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
+    """Per key and ``_slot`` the sums of all earlier slots of the key, as ``_before_<name>``; 0 for the first."""
+    before = Window.partitionBy(*keys).orderBy(F.col("_slot").asc_nulls_first())
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        slotted.groupBy(*keys, "_slot")
+        .agg(*[F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()])
+        .select(
+            *[F.col(k).alias(f"_of_{k}") for k in keys],
+            F.col("_slot").alias("_of_slot"),
+            *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in sums],
+        )
+    )
+
+
+def with_offsets(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` (with ``_slot``) and the offsets of their key and slot."""
+    same = F.col("_slot").eqNullSafe(F.col("_of_slot"))
+    for key in keys:
+        same = same & (F.col(key) == F.col(f"_of_{key}"))
+    return rows.join(offsets, same).drop("_of_slot", *[f"_of_{k}" for k in keys])
+
+
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     totals: Mapping[str, Column],
-    cuts: Cuts | None = None,
+    slots: int | Column = SLOT_WIDTH,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """Add inclusive running sums per key along (``order``, ``tie_break``), NULLs first.
 
-    Rows with a NULL key are left out.  ``order`` with ``tie_break`` should be unique per key.
+    Rows with a NULL key are left out; values that are NULL count as nothing.  ``order`` with ``tie_break``
+    should be unique per key.  ``slots``: see :func:`slot_of`.
     """
-    # the same filter on both branches below lets them share the shuffles they start from
-    for key in keys:
-        df = df.filter(F.col(key).isNotNull())
-    by = _ascending([order, *tie_break])
-    upto_here = (Window.unboundedPreceding, Window.currentRow)
-    if cuts is None:
-        w = Window.partitionBy(*keys).orderBy(*by).rowsBetween(*upto_here)
-        return df.select("*", *[F.sum(c).over(w).alias(n) for n, c in totals.items()])
-
-    place = [*keys, "_chunk"]
-    hot = F.broadcast(cuts.hot.withColumn("_hot", F.lit(True)))
-    chunked = df.join(hot, list(keys), "left").withColumn(
-        "_chunk", F.when(F.col("_hot"), chunk_of(F.col(order), cuts.values)).otherwise(0)
-    )
-    inside = Window.partitionBy(*place).orderBy(*by).rowsBetween(*upto_here)
-    local = chunked.select(
-        "*", *[F.sum(c).over(inside).alias(f"_local_{n}") for n, c in totals.items()]
-    )
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        chunked.filter("_hot")
-        .groupBy(*place)
-        .agg(*[F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()])
-        .select(*place, *[F.sum(f"_sum_{n}").over(before).alias(f"_before_{n}") for n in totals])
-    )
-    return local.join(offsets, place, "left").select(
-        *df.columns,
-        *[
-            (F.col(f"_local_{n}") + F.coalesce(F.col(f"_before_{n}"), F.lit(0))).alias(n)
-            for n in totals
-        ],
-    )
+    keys = list(keys)
+    slotted = df.dropna(subset=keys).withColumn("_slot", slot_of(df, order, slots))
+    inside = Window.partitionBy(*keys, "_slot").orderBy(*_ascending([order, *tie_break])).rowsBetween(*_UPTO_HERE)
+    local = slotted.select("*", *[F.sum(c).over(inside).alias(f"_local_{n}") for n, c in totals.items()])
+    summed = [(F.coalesce(f"_local_{n}", F.lit(0)) + F.col(f"_before_{n}")).alias(n) for n in totals]
+    return with_offsets(local, slot_offsets(slotted, keys, totals), keys).select(*df.columns, *summed)
 
 
 def rolling_sum(
@@ -142,33 +102,26 @@ def rolling_sum(
     value: Column,
     rows: int,
     name: str,
-    cuts: Cuts | None = None,
+    slots: int | Column = SLOT_WIDTH,
     tie_break: Sequence[str] = (),
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Sum of ``value`` over the current and the ``rows`` - 1 previous rows of the key.
+    """Sum of ``value`` over the current and the ``rows`` - 1 previous rows of the key; NULL if all are NULL.
 
-    With cuts, every row gets its position in the key, positions are grouped into blocks, and the
-    last ``rows`` - 1 rows of a block are also sent to the next block, where they only feed the
-    frames of the first rows.
+    Running totals give every row its position in the key.  Positions are cut into blocks, and the last
+    ``rows`` - 1 rows of a block are lent to the next one, where they only feed the frames of its first rows.
     """
-    frame = (-(rows - 1), 0)
-    if cuts is None:
-        w = Window.partitionBy(*keys).orderBy(*_ascending([order, *tie_break])).rowsBetween(*frame)
-        return df.select("*", F.sum(value).over(w).alias(name))
-
-    block_rows = max(cuts.rows_per_chunk, rows)
-    placed = running_totals(
-        df.withColumn("_value", value), keys, order, {"_pos": F.lit(1)}, cuts, tie_break
-    )
+    block_rows = max(block_rows, rows)
+    placed = running_totals(df.withColumn("_value", value), keys, order, {"_pos": F.lit(1)}, slots, tie_break)
     within = F.pmod(F.col("_pos") - 1, F.lit(block_rows))
     home = F.col("_pos") - within
     lends = within >= block_rows - (rows - 1)
-    copies = F.when(lends, F.array(home, home + block_rows)).otherwise(F.array(home))
-    w = Window.partitionBy(*keys, "_block").orderBy("_pos").rowsBetween(*frame)
+    blocks = F.when(lends, F.array(home, home + block_rows)).otherwise(F.array(home))
+    frame = Window.partitionBy(*keys, "_block").orderBy("_pos").rowsBetween(-(rows - 1), 0)
     return (
         placed.withColumn("_home", home)
-        .withColumn("_block", F.explode(copies))
-        .withColumn(name, F.sum("_value").over(w))
+        .withColumn("_block", F.explode(blocks))
+        .withColumn(name, F.sum("_value").over(frame))
         .filter(F.col("_block") == F.col("_home"))
         .select(*df.columns, name)
     )

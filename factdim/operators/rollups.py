@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import Cuts, rolling_sum, running_totals
+from .ordered import BLOCK_ROWS, SLOT_WIDTH, rolling_sum, slot_of, slot_offsets, with_offsets
 from .relational import ordered_desc, top_with_ties
 
 
@@ -136,16 +136,17 @@ def max_wins_in_stretch(
     games: DataFrame,
     stretch: int = 90,
     order: str = "game_id",
-    cuts: Cuts | None = None,
+    slots: int | Column = SLOT_WIDTH,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Most wins of each team in any ``stretch`` consecutive games (shorter starts count).
 
-    There are few teams, so on large data pass ``cuts`` from ``find_cuts``.
+    There are few teams, so the games of a team are summed by slots of ``order`` and blocks of rows.
     Games are taken as two-sided: one row, and at most one win, per team and game.
     """
     outcomes = team_game_outcomes(games)
     rolled = rolling_sum(
-        outcomes, ["team_abbreviation"], order, F.col("wins"), stretch, "_wins", cuts
+        outcomes, ["team_abbreviation"], order, F.col("wins"), stretch, "_wins", slots, block_rows=block_rows
     )
     best = rolled.groupBy("team_abbreviation").agg(
         F.max("_wins").alias(f"max_wins_in_{stretch}_games")
@@ -158,7 +159,7 @@ def longest_streak(
     predicate: Column | None = None,
     entity: str = "player_name",
     order: str = "game_id",
-    cuts: Cuts | None = None,
+    slots: int | Column = SLOT_WIDTH,
     names: tuple[str, str, str] = (
         "games_in_row_over_10",
         "streak_start_game",
@@ -169,22 +170,28 @@ def longest_streak(
     """Longest run of consecutive games per entity for which ``predicate`` holds, ties kept.
 
     A row that fails (or is NULL) breaks the run, so a run is the set of hits with the same number
-    of breaks before them: a running total, which ``cuts`` spread over tasks for a hot entity.
+    of breaks before them.  Breaks are numbered inside each slot of ``order`` first, and hits are counted by that
+    number; the pieces of runs, not the games, then meet the breaks of the earlier slots.
     """
     hit = F.coalesce(predicate if predicate is not None else F.col("pts") > 10, F.lit(False))
-    flagged = games.filter(F.col(entity).isNotNull()).select(
-        entity, *dict.fromkeys([order, *tie_break]), hit.alias("_hit")
+    slotted = games.filter(F.col(entity).isNotNull()).select(
+        entity, *dict.fromkeys([order, *tie_break]), hit.alias("_hit"), slot_of(games, order, slots).alias("_slot")
     )
-    runs = (
-        running_totals(
-            flagged, [entity], order, {"_breaks": F.when(F.col("_hit"), 0).otherwise(1)}, cuts, tie_break
-        )
+    breaks = F.when(F.col("_hit"), 0).otherwise(1)
+    inside = Window.partitionBy(entity, "_slot").orderBy(*[F.col(c).asc_nulls_first() for c in (order, *tie_break)])
+    pieces = (
+        slotted.withColumn("_local", F.sum(breaks).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .filter("_hit")
-        .groupBy(entity, "_breaks")
+        .groupBy(entity, "_slot", "_local")
+        .agg(F.count("*").alias("_n"), F.min(order).alias("_first"), F.max(order).alias("_last"))
+    )
+    runs = (
+        with_offsets(pieces, slot_offsets(slotted, [entity], {"breaks": breaks}), [entity])
+        .groupBy(entity, (F.col("_local") + F.col("_before_breaks")).alias("_breaks"))
         .agg(
-            F.count("*").alias(names[0]),
-            F.min(order).alias(names[1]),
-            F.max(order).alias(names[2]),
+            F.sum("_n").alias(names[0]),
+            F.min("_first").alias(names[1]),
+            F.max("_last").alias(names[2]),
         )
     )
     return top_with_ties(runs, names[0], [entity]).select(entity, *names)

@@ -1,25 +1,15 @@
-"""The chunked paths for hot keys against brute force in Python."""
+"""Sums along an order, slot by slot, against brute force in Python."""
 
 import random
 
 import pytest
 from helpers import table
 
-from factdim.operators import chunk_of, find_cuts, longest_streak, max_wins_in_stretch
+from factdim.operators import longest_streak, max_wins_in_stretch, slot_of
 from factdim.operators.ordered import rolling_sum, running_totals
 from pyspark.sql import functions as F
 
 
-def test_chunk_of_counts_cuts_at_or_below(spark):
-    for n in (0, 1, 2, 3, 7, 8, 13):
-        cuts = [10 * (i + 1) for i in range(n)]
-        df = spark.range(-5, 150).select("id", chunk_of(F.col("id"), cuts).alias("c"))
-        for r in df.collect():
-            assert r.c == sum(c <= r.id for c in cuts), (n, r)
-    null = spark.sql("select cast(null as bigint) as id").select(chunk_of(F.col("id"), [1, 2]))
-    assert null.first()[0] == 0
-
-
 @pytest.fixture(scope="module")
 def skewed(spark):
     """One key with most rows, an outlier in the order column, keys of one row, and gaps."""
@@ -32,13 +22,6 @@ def skewed(spark):
     return table(spark, "k string, g bigint, v int", *data).repartition(5), data
 
 
-def _cuts(df, rows_per_chunk=40):
-    cuts = find_cuts(df, ["k"], "g", rows_per_chunk)
-    assert {r.k for r in cuts.hot.collect()} == {"hot", "warm"}
-    assert len(cuts.values) > 5
-    return cuts
-
-
 def _by_key(data):
     groups = {}
     for k, g, v in sorted(data):
@@ -46,11 +29,11 @@ def _by_key(data):
     return groups
 
 
-@pytest.mark.parametrize("chunked", [False, True])
-def test_running_totals(spark, skewed, chunked):
+@pytest.mark.parametrize("slots", [1, 40, 10**12])
+def test_running_totals(spark, skewed, slots):
     df, data = skewed
     out = running_totals(
-        df, ["k"], "g", {"pos": F.lit(1), "cum": F.coalesce("v", F.lit(0))}, _cuts(df) if chunked else None
+        df, ["k"], "g", {"pos": F.lit(1), "cum": F.col("v")}, slots
     )
     expected = {}
     for k, items in _by_key(data).items():
@@ -62,10 +45,10 @@ def test_running_totals(spark, skewed, chunked):
 
 
 @pytest.mark.parametrize("width", [1, 2, 7, 40, 90, 500])
-@pytest.mark.parametrize("chunked", [False, True])
-def test_rolling_sum(spark, skewed, chunked, width):
+@pytest.mark.parametrize("slots", [3, 10**12])
+def test_rolling_sum(spark, skewed, slots, width):
     df, data = skewed
-    out = rolling_sum(df, ["k"], "g", F.col("v"), width, "s", _cuts(df) if chunked else None)
+    out = rolling_sum(df, ["k"], "g", F.col("v"), width, "s", slots, block_rows=slots)
     expected = {}
     for k, items in _by_key(data).items():
         for i, (g, _) in enumerate(items):
@@ -76,11 +59,11 @@ def test_rolling_sum(spark, skewed, chunked, width):
     assert {(r.k, r.g): r.s for r in got} == expected
 
 
-@pytest.mark.parametrize("chunked", [False, True])
-def test_longest_streak(spark, skewed, chunked):
+@pytest.mark.parametrize("slots", [2, 50, 10**12])
+def test_longest_streak(spark, skewed, slots):
     df, data = skewed
     out = longest_streak(
-        df, F.col("v") >= 1, "k", "g", _cuts(df) if chunked else None, ("n", "lo", "hi")
+        df, F.col("v") >= 1, "k", "g", slots, ("n", "lo", "hi")
     )
     expected = set()
     for k, items in _by_key(data).items():
@@ -96,16 +79,15 @@ def test_longest_streak(spark, skewed, chunked):
     assert {tuple(r) for r in out.collect()} == expected
 
 
-@pytest.mark.parametrize("rows_per_chunk", [None, 30])
-def test_max_wins_in_stretch(spark, rows_per_chunk):
+@pytest.mark.parametrize("slots", [7, 10**6])
+def test_max_wins_in_stretch(spark, slots):
     rng = random.Random(11)
     data = []
     for game in range(400):
         a, b = rng.sample(["A", "B", "C"] if game % 3 else ["A", "B"], 2)
         data += [(game, a, rng.randint(0, 9)), (game, b, rng.randint(0, 9))]
     games = table(spark, "game_id bigint, team_abbreviation string, pts int", *data)
-    cuts = rows_per_chunk and find_cuts(games, ["team_abbreviation"], "game_id", rows_per_chunk)
-    got = {tuple(r) for r in max_wins_in_stretch(games, 25, cuts=cuts).collect()}
+    got = {tuple(r) for r in max_wins_in_stretch(games, 25, slots=slots, block_rows=slots).collect()}
     wins = {}
     for i in range(0, len(data), 2):
         (g, a, x), (_, b, y) = data[i], data[i + 1]
@@ -116,7 +98,37 @@ def test_max_wins_in_stretch(spark, rows_per_chunk):
     }
 
 
-def test_no_cuts_without_hot_keys(spark):
-    df = spark.range(1000).selectExpr("id as k", "id as g")
-    assert find_cuts(df, ["k"], "g", 10_000) is None
-    assert find_cuts(df, ["k"], "g", 100) is None
+def test_slots_rise_with_every_kind_of_order(spark):
+    df = spark.sql(
+        "select id, cast(id as decimal(12, 2)) / 4 as dec, date_add(date'1970-01-01', cast(id as int)) as day,"
+        " timestamp_seconds(id) as at, cast(id as string) as name from range(-30, 30)"
+    )
+    for order in ("id", "dec", "day", "at"):
+        found = [r.s for r in df.orderBy("id").select(slot_of(df, order, 7).alias("s")).collect()]
+        assert found == sorted(found) and len(set(found)) > 2, order
+    with pytest.raises(TypeError):
+        slot_of(df, "name", 7)
+    with pytest.raises(ValueError):
+        slot_of(df, "id", 0)
+
+
+def test_text_order_with_named_slots_and_null_order(spark):
+    rng = random.Random(2)
+    names = sorted({"".join(rng.choices("abc", k=4)) for _ in range(60)})
+    data = [("k", n, i) for i, n in enumerate(names)]
+    df = table(spark, "k string, name string, v int", *data, ("k", None, 1000), (None, "a", 1))
+    out = running_totals(df, ["k"], "name", {"cum": F.col("v")}, F.substring("name", 1, 1))
+    assert [r.cum for r in out.orderBy(F.col("name").asc_nulls_first()).collect()] == [
+        1000 + sum(range(i)) for i in range(len(names) + 1)
+    ]
+
+
+def test_plan_is_built_without_a_job(spark, skewed):
+    """Nothing is counted while the sums are put together."""
+    df, _ = skewed
+    context = spark.sparkContext
+    context.setJobGroup("build", "")
+    longest_streak(df, F.col("v") >= 1, "k", "g", 10, ("n", "lo", "hi"))
+    rolling_sum(df, ["k"], "g", F.col("v"), 5, "s", 10)
+    assert not context.statusTracker().getJobIdsForGroup("build")
+    context.setLocalProperty("spark.jobGroup.id", None)
