@@ -83,7 +83,7 @@ matches AS (
 earned AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS match_id, CAST(l_suppkey AS VARCHAR) AS player_gamertag,
          CAST(l_partkey AS VARCHAR) AS medal_id
-  FROM lineitem WHERE l_quantity > 25),
+  FROM lineitem),
 medals AS (
   SELECT CAST(p_partkey AS VARCHAR) AS medal_id,
          CASE WHEN p_size = 7 THEN 'Killing Spree' ELSE p_name END AS name
@@ -136,7 +136,7 @@ starts AS (
 last_years AS (SELECT actorid, max(current_year) AS last_year FROM status GROUP BY actorid)
 SELECT s.actorid, any_value(s.actor) AS actor, any_value(s.quality_class) AS quality_class,
        any_value(s.is_active) AS is_active, s.current_year AS start_year,
-       coalesce(min(t.current_year) - 1, any_value(l.last_year)) AS end_year, 2001 AS current_year
+       coalesce(min(t.current_year) - 1, any_value(l.last_year)) AS end_year, any_value(l.last_year) AS current_year
 FROM starts s JOIN last_years l ON l.actorid = s.actorid
 LEFT JOIN starts t ON t.actorid = s.actorid AND t.current_year > s.current_year
 GROUP BY s.actorid, s.current_year"""
@@ -197,14 +197,14 @@ _DAYS_TEXT = "string_agg(CAST(day AS VARCHAR), ',' ORDER BY day)"
 
 _DEVICE_LISTS = f"""
 WITH {DEVICE_DAYS}
-SELECT user_id, browser_type, {_DAYS_TEXT} AS activity_datelist, DATE '2024-01-30' AS date
+SELECT user_id, browser_type, {_DAYS_TEXT} AS activity_datelist, (SELECT max(day) FROM site) AS date
 FROM seen GROUP BY user_id, browser_type"""
 
 
 def _site_lists(keys: str) -> str:
     return f"""
 WITH {SITE}, seen AS (SELECT DISTINCT {keys}, day FROM site)
-SELECT {keys}, {_DAYS_TEXT} AS activity_datelist, DATE '2024-01-30' AS date
+SELECT {keys}, {_DAYS_TEXT} AS activity_datelist, (SELECT max(day) FROM site) AS date
 FROM seen GROUP BY {keys}"""
 
 
@@ -214,8 +214,8 @@ def _month_grid(keys: str) -> str:
     return f"""{SITE},
 grid AS (
   SELECT k.*, d.day
-  FROM (SELECT DISTINCT {keys} FROM site) k
-  CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30',
+  FROM (SELECT DISTINCT {keys} FROM site WHERE day >= (SELECT date_trunc('month', max(day)) FROM site)) k
+  CROSS JOIN (SELECT CAST(unnest(generate_series((SELECT date_trunc('month', max(day)) FROM site), (SELECT max(day) FROM site),
                                                  INTERVAL 1 DAY)) AS DATE) AS day) d),
 slots AS (
   SELECT {key_list}, k.day, count(s.user_id) AS hits, count(DISTINCT s.user_id) AS visitors
@@ -226,7 +226,7 @@ slots AS (
 def _month_arrays(keys: str) -> str:
     return f"""
 WITH {_month_grid(keys)}
-SELECT {keys}, DATE '2024-01-01' AS month,
+SELECT {keys}, CAST(date_trunc('month', max(day)) AS DATE) AS month,
        string_agg(CAST(hits AS VARCHAR), ',' ORDER BY day) AS hit_array,
        string_agg(CAST(visitors AS VARCHAR), ',' ORDER BY day) AS unique_visitors
 FROM slots GROUP BY {keys}"""
@@ -245,6 +245,8 @@ closed AS (
          count(*) AS event_count, md5(ip || '|' || host || '|' || min(ts)) AS session_id
   FROM numbered GROUP BY ip, host, n)"""
 
+_LINE_SESSIONS = _SESSIONS.replace("FROM events)", "FROM events WHERE event_id % 40 NOT IN (1, 2, 3))")
+
 
 def _growth(number: str, back: str) -> str:
     return f"""
@@ -347,17 +349,15 @@ SELECT player_name, season,
             WHEN active THEN 'Returned from Retirement'
             ELSE 'Stayed Retired' END AS player_state
 FROM seen""",
-    "actors_increment": _ACTORS.format(first_year=2001),
+    "actors_increment": _ACTORS.format(first_year="(SELECT max(year) FROM films)"),
     "actors_backfill": _ACTORS.format(first_year=0),
     "actors_scd2_backfill": _SCD,
     "actors_scd2_increment": _SCD,
     "actors_scd2_rerun": _SCD,
     "segment_upsert": """
 SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
-       CAST(o_totalprice + CASE WHEN o_orderkey % 3 = 0 AND o_orderstatus = 'F' THEN 1 ELSE 0 END AS DOUBLE) AS price
-FROM orders
-UNION ALL
-SELECT -o_orderkey, NULL, CAST(o_totalprice + 1 AS DOUBLE) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 3 = 0""",
+       CAST(o_totalprice + CASE WHEN o_orderkey % 3 = 0 AND o_orderstatus IN ('F', 'P') THEN 1 ELSE 0 END AS DOUBLE) AS price
+FROM orders""",
     "device_dates_increment": _DEVICE_LISTS,
     "device_dates_backfill": _DEVICE_LISTS,
     "device_dates_map": f"""
@@ -372,12 +372,11 @@ FROM lists GROUP BY user_id, date""",
 WITH {DEVICE_DAYS},
 masks AS (
   SELECT user_id, browser_type,
-         bit_or(CAST(1 AS BIGINT) << CAST(31 - (DATE '2024-01-30' - day) AS INTEGER))
-           AS datelist_int,
-         CAST(count(DISTINCT day) AS INTEGER) AS days_active,
-         bool_or(day > DATE '2024-01-30' - 7) AS active_7d,
-         bool_or(day > DATE '2024-01-30' - 28) AS active_28d
-  FROM seen GROUP BY user_id, browser_type)
+         coalesce(bit_or(CAST(1 AS BIGINT) << CAST(31 - age AS INTEGER)) FILTER (age < 32), 0) AS datelist_int,
+         CAST(count(DISTINCT age) FILTER (age < 32) AS INTEGER) AS days_active,
+         coalesce(bool_or(age < 7), false) AS active_7d,
+         coalesce(bool_or(age < 28), false) AS active_28d
+  FROM (SELECT *, (SELECT max(day) FROM site) - day AS age FROM seen) GROUP BY user_id, browser_type)
 SELECT user_id, browser_type, datelist_int, lpad(bin(datelist_int), 32, '0') AS datelist_bits,
        days_active, active_7d, active_28d
 FROM masks""",
@@ -389,7 +388,7 @@ FROM masks""",
 WITH {_month_grid("host")} SELECT host, day AS date, hits, visitors FROM slots""",
     "monthly_array_totals": f"""
 WITH {_month_grid("host")}
-SELECT host, DATE '2024-01-01' AS month, CAST(sum(hits) AS BIGINT) AS hits,
+SELECT host, CAST(date_trunc('month', max(day)) AS DATE) AS month, CAST(sum(hits) AS BIGINT) AS hits,
        CAST(sum(visitors) AS BIGINT) AS visitors
 FROM slots GROUP BY host""",
     "match_fact": f"""
@@ -448,6 +447,29 @@ SELECT 'by_both', count(*), count(DISTINCT coalesce(playlist_id, '-') || '|' ||
 WITH {_SESSIONS}
 SELECT * FROM closed
 WHERE session_end <= (SELECT epoch_ms(max(ts)) FROM web) - INTERVAL 10 SECOND""",
+    "sessions_upsert": f"""
+WITH {_SESSIONS}
+SELECT * FROM closed
+WHERE session_end <= (SELECT epoch_ms(max(ts)) FROM web) - INTERVAL 10 SECOND""",
+    "sessions_from_lines": f"WITH {_LINE_SESSIONS} SELECT * FROM closed",
+    "sessions_from_messages": f"WITH {_LINE_SESSIONS} SELECT * FROM closed",
+    # the watermark of a slice: the newest event of all slices before, less 10 seconds
+    "intake_report": """
+WITH bounds AS (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS b FROM events),
+sliced AS (
+  SELECT event_id % 40 AS kind, epoch_us(ts) // 1000 AS ms,
+         CAST(floor((CAST(ts AS DATE) - a) * 5 / (b - a + 1)) AS INTEGER) AS own
+  FROM events, bounds),
+arrived AS (
+  SELECT ms, kind IN (1, 2, 3) AS bad, CASE WHEN kind = 4 AND own < 4 THEN own + 1 ELSE own END AS slice FROM sliced),
+newest AS (SELECT slice, max(ms) FILTER (NOT bad) AS top FROM arrived GROUP BY slice),
+marks AS (
+  SELECT slice, max(top) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 10000 AS mark
+  FROM newest),
+judged AS (SELECT slice, bad, coalesce(ms + 300000 <= mark, false) AS late FROM arrived JOIN marks USING (slice))
+SELECT CAST(slice AS BIGINT) AS batch_id, count(*) FILTER (NOT bad AND NOT late) AS accepted,
+       count(*) FILTER (NOT bad AND late) AS late, count(*) FILTER (bad) AS rejected
+FROM judged GROUP BY slice""",
     "session_stats": f"""
 WITH {_SESSIONS}
 SELECT coalesce(host, 'ALL') AS host, count(*) AS sessions,

@@ -17,8 +17,16 @@ from .. import operators as op
 from ..functions import flat_text
 from ..session import bucket_join_session, configure, scratch_dir
 from ..sinks import compare_layouts, upsert_partitions, write_bucketed, write_period
-from ..sources.practice import FIRST_DAY, HOSTS, LAST_DAY, LAST_YEAR, Practice
-from ..streaming import latest_sessions, sessionize_stream, start_session_stream
+from ..sources.practice import HOSTS, Practice
+from ..sources import decode_web_events, read_web_events
+from ..streaming import (
+    accounts,
+    latest_sessions,
+    session_table,
+    sessionize_stream,
+    start_intake,
+    start_session_stream,
+)
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -131,8 +139,8 @@ def player_state(p: Practice) -> DataFrame:
 @job
 def actors_increment(p: Practice) -> DataFrame:
     films = p.actor_films()
-    before = op.backfill_actors(films, LAST_YEAR - 1)
-    return _films_text(op.cumulate_actors(before, films, LAST_YEAR))
+    before = op.backfill_actors(films, p.last_year - 1)
+    return _films_text(op.cumulate_actors(before, films, p.last_year))
 
 
 @job
@@ -142,22 +150,22 @@ def actors_backfill(p: Practice) -> DataFrame:
 
 @job
 def actors_scd2_backfill(p: Practice) -> DataFrame:
-    return op.scd2_backfill(op.backfill_actor_status(p.actor_films()), as_of=LAST_YEAR)
+    return op.scd2_backfill(op.backfill_actor_status(p.actor_films()), as_of=p.last_year)
 
 
 @job
 def actors_scd2_increment(p: Practice) -> DataFrame:
-    status = op.backfill_actor_status(p.actor_films(), LAST_YEAR)
-    history = op.scd2_backfill(status, as_of=LAST_YEAR - 1)
-    return op.scd2_increment(history, status, LAST_YEAR, last_period=LAST_YEAR - 1)
+    status = op.backfill_actor_status(p.actor_films(), p.last_year)
+    history = op.scd2_backfill(status, as_of=p.last_year - 1)
+    return op.scd2_increment(history, status, p.last_year, last_period=p.last_year - 1)
 
 
 @job
 def actors_scd2_rerun(p: Practice) -> DataFrame:
     """The last year run again on the history that holds it already."""
-    status = op.backfill_actor_status(p.actor_films(), LAST_YEAR)
-    history = op.scd2_backfill(status, as_of=LAST_YEAR)
-    return op.scd2_increment(history, status, LAST_YEAR, last_period=LAST_YEAR)
+    status = op.backfill_actor_status(p.actor_films(), p.last_year)
+    history = op.scd2_backfill(status, as_of=p.last_year)
+    return op.scd2_increment(history, status, p.last_year, last_period=p.last_year)
 
 
 # --- site activity ----------------------------------------------------------------------------
@@ -166,17 +174,17 @@ _DEVICE_KEYS = ["user_id", "browser_type"]
 
 
 def _device_lists(p: Practice) -> DataFrame:
-    return op.backfill_dates(p.device_days(), _DEVICE_KEYS, FIRST_DAY, LAST_DAY)
+    return op.backfill_dates(p.device_days(), _DEVICE_KEYS, p.first_day, p.last_day)
 
 
-def _lists_increment(events: DataFrame, keys: list[str]) -> DataFrame:
-    before = op.backfill_dates(events, keys, FIRST_DAY, LAST_DAY - DAY)
-    return _text(op.cumulate_dates(before, events, keys, LAST_DAY), "activity_datelist")
+def _lists_increment(p: Practice, events: DataFrame, keys: list[str]) -> DataFrame:
+    before = op.backfill_dates(events, keys, p.first_day, p.last_day - DAY)
+    return _text(op.cumulate_dates(before, events, keys, p.last_day), "activity_datelist")
 
 
 @job
 def device_dates_increment(p: Practice) -> DataFrame:
-    return _lists_increment(p.device_days(), _DEVICE_KEYS)
+    return _lists_increment(p, p.device_days(), _DEVICE_KEYS)
 
 
 @job
@@ -202,32 +210,32 @@ def device_dates_map(p: Practice) -> DataFrame:
 
 @job
 def host_dates_increment(p: Practice) -> DataFrame:
-    return _lists_increment(p.site_events(), ["host"])
+    return _lists_increment(p, p.site_events(), ["host"])
 
 
 @job
 def user_host_dates_increment(p: Practice) -> DataFrame:
-    return _lists_increment(p.site_events(), ["user_id", "host"])
+    return _lists_increment(p, p.site_events(), ["user_id", "host"])
 
 
 @job
 def host_dates_backfill(p: Practice) -> DataFrame:
-    lists = op.backfill_dates(p.site_events(), ["host"], FIRST_DAY, LAST_DAY)
+    lists = op.backfill_dates(p.site_events(), ["host"], p.first_day, p.last_day)
     return _text(lists, "activity_datelist")
 
 
 @job
 def datelist_int(p: Practice) -> DataFrame:
-    return op.datelist_int(_device_lists(p), "activity_datelist", LAST_DAY, _DEVICE_KEYS)
+    return op.datelist_int(_device_lists(p), "activity_datelist", p.last_day, _DEVICE_KEYS)
 
 
 def _monthly(p: Practice, keys: list[str], end: dt.date) -> DataFrame:
-    return op.monthly_array_backfill(p.site_events(), keys, FIRST_DAY, end)
+    return op.monthly_array_backfill(p.site_events(), keys, end.replace(day=1), end)
 
 
 def _monthly_increment(p: Practice, keys: list[str]) -> DataFrame:
-    before = _monthly(p, keys, LAST_DAY - DAY)
-    after = op.monthly_array_increment(before, p.site_events(), keys, LAST_DAY)
+    before = _monthly(p, keys, p.last_day - DAY)
+    after = op.monthly_array_increment(before, p.site_events(), keys, p.last_day)
     return _text(after, "hit_array", "unique_visitors")
 
 
@@ -243,45 +251,46 @@ def monthly_array_increment_by_user(p: Practice) -> DataFrame:
 
 @job
 def monthly_array_backfill(p: Practice) -> DataFrame:
-    return _text(_monthly(p, ["host"], LAST_DAY), "hit_array", "unique_visitors")
+    return _text(_monthly(p, ["host"], p.last_day), "hit_array", "unique_visitors")
 
 
 @job
 def monthly_array_explode(p: Practice) -> DataFrame:
-    return op.monthly_array_explode(_monthly(p, ["host"], LAST_DAY), ["host"])
+    return op.monthly_array_explode(_monthly(p, ["host"], p.last_day), ["host"])
 
 
 @job
 def monthly_array_totals(p: Practice) -> DataFrame:
-    return op.monthly_array_totals(_monthly(p, ["host"], LAST_DAY), ["host"])
+    return op.monthly_array_totals(_monthly(p, ["host"], p.last_day), ["host"])
 
 
 @job
 def monthly_array_upsert(p: Practice) -> DataFrame:
-    """Days 29 and 30 loaded into a stored table, the last one twice; then read back."""
+    """The last two days loaded into a stored table, the last one twice; then read back."""
     path, keys = scratch_dir(p.spark, "host_activity"), ["host"]
     events, key = p.site_events(), ["host", "month"]
-    write_period(_monthly(p, keys, LAST_DAY - 2 * DAY), path, ["month"])
-    for day in (LAST_DAY - DAY, LAST_DAY, LAST_DAY):
+    first = p.last_day.replace(day=1)
+    loaded = max(first, p.last_day - 2 * DAY)
+    write_period(_monthly(p, keys, loaded), path, ["month"])
+    for day in [d for d in (p.last_day - DAY, p.last_day) if d > loaded] + [p.last_day]:
         stored = p.spark.read.parquet(path)
         updates = op.monthly_array_increment(stored, events, keys, day)
-        upsert_partitions(p.spark, path, updates, key, ["month"], [{"month": FIRST_DAY}])
+        upsert_partitions(p.spark, path, updates, key, ["month"], [{"month": first}])
     stored = p.spark.read.parquet(path).select("host", "month", "hit_array", "unique_visitors")
     return _text(stored, "hit_array", "unique_visitors")
 
 
 @job
 def segment_upsert(p: Practice) -> DataFrame:
-    """Orders by status, stored without a partition name for 'P' and updated in two partitions, one NULL."""
+    """Orders by status, stored without a partition name for 'P'; two partitions, one NULL, updated twice."""
     path = scratch_dir(p.spark, "orders_by_status")
     status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
     orders = p.table("orders").select("o_orderkey", status.alias("status"), F.col("o_totalprice").alias("price"))
     write_period(orders, path, ["status"])
     updates = orders.filter((F.col("o_orderkey") % 3 == 0) & (F.col("status").isNull() | (F.col("status") == "F")))
-    updates = updates.filter(F.col("status").isNotNull()).unionByName(
-        updates.filter(F.col("status").isNull()).withColumn("o_orderkey", -F.col("o_orderkey"))
-    )
-    upsert_partitions(p.spark, path, updates.withColumn("price", F.col("price") + 1), ["o_orderkey", "status"], ["status"])
+    for _ in range(2):
+        dearer = updates.withColumn("price", F.col("price") + 1)
+        upsert_partitions(p.spark, path, dearer, ["o_orderkey", "status"], ["status"])
     return p.spark.read.parquet(path).select("o_orderkey", "status", "price")
 
 
@@ -376,6 +385,49 @@ def sessions_stream(p: Practice) -> DataFrame:
     return _no_zone(latest_sessions(p.spark, f"{base}/out"), "session_start", "session_end")
 
 
+SLICES = 5
+
+
+@job
+def sessions_upsert(p: Practice) -> DataFrame:
+    """Events that arrive in slices; the stream is started anew for each and upserts the sessions it closes."""
+    base = scratch_dir(p.spark, "session_table")
+    table = session_table(p.spark, f"{base}/table")
+    arriving = p.web_events(p.table("events").withColumn("slice", p.day_slice(SLICES)), "slice")
+    for number in range(SLICES):
+        arriving.filter(F.col("slice") == number).drop("slice").write.json(f"{base}/in/slice={number}")
+        events = read_web_events(p.spark, f"{base}/in", streaming=True)
+        query = start_session_stream(sessionize_stream(events), table, f"{base}/state", available_now=True)
+        query.awaitTermination()
+    return _no_zone(table.current(), "session_start", "session_end")
+
+
+@job
+def intake_report(p: Practice) -> DataFrame:
+    """Rows accepted, late and rejected in each batch of a stream of lines, some of them broken or late."""
+    base = scratch_dir(p.spark, "intake")
+    lines = p.web_event_lines(SLICES)
+    for number in range(SLICES):
+        lines.filter(F.col("slice") == number).select("value").write.text(f"{base}/in/slice={number}")
+        arriving = p.spark.readStream.schema("value string").text(f"{base}/in")
+        start_intake(arriving, f"{base}/out", f"{base}/state", available_now=True).awaitTermination()
+    return accounts(p.spark, f"{base}/out").select("batch_id", "accepted", "late", "rejected")
+
+
+@job
+def sessions_from_lines(p: Practice) -> DataFrame:
+    """Sessions of events stored as JSON lines; broken lines are left out."""
+    path = scratch_dir(p.spark, "lines")
+    p.web_event_lines().select("value").write.text(path)
+    return _no_zone(op.sessionize(read_web_events(p.spark, path)), "session_start", "session_end")
+
+
+@job
+def sessions_from_messages(p: Practice) -> DataFrame:
+    """Sessions of events that come as message values; broken messages are left out."""
+    return _no_zone(op.sessionize(decode_web_events(p.web_event_lines())), "session_start", "session_end")
+
+
 @job
 def session_stats(p: Practice) -> DataFrame:
     return op.session_stats(op.sessionize(p.web_events()), HOSTS)

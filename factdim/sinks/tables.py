@@ -22,12 +22,19 @@ def write_period(df: DataFrame, path: str, partition_cols: Sequence[str]) -> Non
     )
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """``target`` with the rows of ``updates`` replacing rows of the same key, new ones added.
 
-    NULL never equals NULL here: a row with a NULL key is always added.
+    NULL never equals NULL here, so that a row with a NULL key is always added, unless ``null_safe`` says that
+    it is a key like any other.
     """
-    return target.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates)
+    if not null_safe:
+        return target.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates)
+    named = updates.select(*[F.col(k).alias(f"_u_{k}") for k in keys])
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_u_{key}"))
+    return target.join(named, same, "left_anti").unionByName(updates)
 
 
 def upsert_partitions(
@@ -40,8 +47,8 @@ def upsert_partitions(
 ) -> None:
     """Upsert into a partitioned parquet table, rewriting only partitions that get updates.
 
-    ``partition_cols`` are part of the key, so an update never moves a row between partitions.  The
-    stored rows of the partitions in ``updates`` are kept by a null-safe semi-join, whatever their
+    ``partition_cols`` are part of the key, so an update never moves a row between partitions.  A NULL in
+    the key equals a NULL, so running an update again changes nothing.  The stored rows of the partitions in ``updates`` are kept by a null-safe semi-join, whatever their
     number.  ``touched`` names the partitions with updates, e.g. ``[{"month": date(2024, 1, 1)}]``, so
     that the stored table is pruned to them; updates outside of them are refused.  Old files are
     replaced when the job commits.
@@ -71,7 +78,7 @@ def upsert_partitions(
     for column in partition_cols:
         same = same & F.col(column).eqNullSafe(F.col(f"_w_{column}"))
     target = stored.join(wanted, same, "left_semi")
-    write_period(upsert(target.select(*updates.columns), updates, keys), path, partition_cols)
+    write_period(upsert(target.select(*updates.columns), updates, keys, null_safe=True), path, partition_cols)
 
 
 def write_bucketed(

@@ -36,14 +36,24 @@ def _typed(raw: DataFrame) -> DataFrame:
 
 
 def read_web_events(
-    spark: SparkSession, path: str, streaming: bool = False, rejects: bool = False
+    spark: SparkSession,
+    path: str,
+    streaming: bool = False,
+    rejects: bool = False,
+    files_per_batch: int | None = None,
+    bytes_per_batch: str | None = None,
 ) -> DataFrame:
     """JSON-lines events ``{ip, host, ts (epoch ms), path}``; blank lines are skipped.
 
     A missing path is "".  ``rejects=True`` returns the lines without ip, host or usable ts
-    (malformed JSON included) instead, as they were read.
+    (malformed JSON included) instead, as they were read.  A stream takes at most ``files_per_batch`` files or
+    about ``bytes_per_batch`` (such as "1g") in a micro-batch; name one of the two.
     """
     reader = spark.readStream if streaming else spark.read
+    if streaming and files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if streaming and bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     raw = reader.schema(_RAW).option("columnNameOfCorruptRecord", "_corrupt").json(path)
     return raw.filter(~_required()) if rejects else _typed(raw)
 
@@ -62,3 +72,32 @@ def decode_web_events(
         ).alias("_e"),
     ).select("_e.*")
     return parsed.filter(~_required()) if rejects else _typed(parsed)
+
+
+def parse_web_events(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """Every message with its fields and, where it is no event, the ``reason``.
+
+    All columns of ``messages`` stay (key, partition, offset, ...), the value as text in ``value``; ip, host,
+    ts and path are added, NULL where there is none (a missing path of an event is "").
+    """
+    others = [c for c in messages.columns if c not in (value_col, "ip", "host", "ts", "path", "value", "reason")]
+    parsed = messages.select(*others, F.col(value_col).cast("string").alias("value")).withColumn(
+        "_e", F.from_json("value", _RAW, {"columnNameOfCorruptRecord": "_corrupt"})
+    )
+    event, ts = F.col("_e"), whole_number(F.col("_e.ts"), "bigint")
+    reason = (
+        F.when(F.coalesce(F.trim("value"), F.lit("")) == "", "empty")
+        .when(event.isNull() | event["_corrupt"].isNotNull(), "malformed")
+        .when(event["ip"].isNull(), "no ip")
+        .when(event["host"].isNull(), "no host")
+        .when(ts.isNull(), "no ts")
+    )
+    return parsed.select(
+        *others,
+        "value",
+        event["ip"].alias("ip"),
+        event["host"].alias("host"),
+        ts.alias("ts"),
+        F.when(reason.isNull(), F.coalesce(event["path"], F.lit(""))).alias("path"),
+        reason.alias("reason"),
+    )

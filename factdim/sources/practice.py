@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,6 @@ from ..operators.matches import DEFAULT_MEDAL
 HOSTS = ("news.example.org", "www.example.org", "shop.example.org")
 BROWSERS = ("Chrome", "Firefox", "Safari", "Edge")
 
-LAST_YEAR = 2001
-FIRST_DAY = dt.date(2024, 1, 1)
-LAST_DAY = dt.date(2024, 1, 30)
-
 
 def _choice(number, options):
     return F.element_at(F.array(*[F.lit(o) for o in options]), (number % len(options) + 1).cast("int"))
@@ -40,6 +37,24 @@ class Practice:
             _SCHEMAS[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
+    # --- the periods the tables reach -------------------------------------------------------
+
+    @cached_property
+    def last_year(self) -> int:
+        return self.table("orders").agg(F.max(F.year("o_orderdate"))).first()[0]
+
+    @cached_property
+    def _days(self) -> tuple[dt.date, dt.date]:
+        return tuple(self.table("events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first())
+
+    @property
+    def first_day(self) -> dt.date:
+        return self._days[0]
+
+    @property
+    def last_day(self) -> dt.date:
+        return self._days[1]
+
     # --- dimensional modelling -----------------------------------------------------------
 
     def actor_films(self) -> DataFrame:
@@ -127,9 +142,10 @@ class Practice:
             F.col("user_id").cast("string").alias("user_id"), "browser_type", "event_time"
         )
 
-    def web_events(self, events: DataFrame | None = None) -> DataFrame:
+    def web_events(self, events: DataFrame | None = None, *others: str) -> DataFrame:
         source = self.table("events") if events is None else events
         return source.select(
+            *others,
             F.concat(F.lit("10.0.0."), F.col("user_id") % 5).alias("ip"),
             _choice(F.col("user_id"), HOSTS).alias("host"),
             to_epoch_ms(F.col("ts")).alias("ts"),
@@ -141,6 +157,33 @@ class Practice:
         stored = self.spark.readStream.schema(schema).parquet(f"{self.folder}/events.parquet*")
         return self.web_events(stored)
 
+    def day_slice(self, of: int):
+        """Number of an equal slice of the days of the events, 0 to ``of`` - 1."""
+        day = F.to_date("ts")
+        span = self.table("events").select(F.min(day).alias("a"), F.max(day).alias("b"))
+        first, last = span.select("a").scalar(), span.select("b").scalar()
+        number = F.datediff(day, first) * of / (F.datediff(last, first) + 1)
+        return F.floor(number).cast("int")
+
+    def web_event_lines(self, slices: int = 5) -> DataFrame:
+        """The web events as JSON text ``value``, with the ``slice`` of time in which a line arrives.
+
+        Of 40 events one is cut short, one lacks its ip, one has no usable time, and one comes a slice late.
+        """
+        case = F.col("event_id") % 40
+        events = self.table("events").withColumns({"_case": case, "slice": self.day_slice(slices)})
+        moves = (case == 4) & (F.col("slice") < slices - 1)
+        events = events.withColumn("slice", F.when(moves, F.col("slice") + 1).otherwise(F.col("slice")))
+        web = self.web_events(events, "_case", "slice")
+        line = F.to_json(F.struct("ip", "host", "ts", "path"))
+        value = (
+            F.when(F.col("_case") == 1, F.substring(line, 1, 20))
+            .when(F.col("_case") == 2, F.to_json(F.struct("host", "ts", "path")))
+            .when(F.col("_case") == 3, F.to_json(F.struct("ip", "host", F.lit("soon").alias("ts"), "path")))
+            .otherwise(line)
+        )
+        return web.select(value.alias("value"), "slice")
+
     # --- matches -------------------------------------------------------------------------
 
     def match_details(self) -> DataFrame:
@@ -159,14 +202,10 @@ class Practice:
         )
 
     def medals_matches_players(self) -> DataFrame:
-        return (
-            self.table("lineitem")
-            .filter(F.col("l_quantity") > 25)
-            .select(
-                F.col("l_orderkey").cast("string").alias("match_id"),
-                F.col("l_suppkey").cast("string").alias("player_gamertag"),
-                F.col("l_partkey").cast("string").alias("medal_id"),
-            )
+        return self.table("lineitem").select(
+            F.col("l_orderkey").cast("string").alias("match_id"),
+            F.col("l_suppkey").cast("string").alias("player_gamertag"),
+            F.col("l_partkey").cast("string").alias("medal_id"),
         )
 
     def medals(self) -> DataFrame:

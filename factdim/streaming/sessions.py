@@ -11,12 +11,22 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import from_epoch_ms, session_id
 from ..operators.relational import dedup
 from ..schemas import KEYS
+from .keyed_table import KeyedTable
 
 # How far events may be out of order, the session gap, rows per database batch.
 OUT_OF_ORDER = "10 seconds"
 SESSION_GAP = "5 minutes"
 SINK_BATCH_ROWS = 100
 
+# State lives in RocksDB on the executors' disks, and a batch uploads what it changed: open sessions may
+# outgrow the executors' memory.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def sessionize_stream(
     events: DataFrame,
@@ -55,8 +65,8 @@ def foreach_batch_writer(
     """Writer of one micro-batch: to a parquet folder, or by JDBC if ``target`` holds its options.
 
     Folder: each batch owns ``batch_id=<id>`` and overwrites it, so a replayed batch replaces its
-    own rows.  JDBC: rows are appended with their ``batch_id`` in transactions of
-    ``SINK_BATCH_ROWS`` rows; merge them on (host, ip, session_start) in the database.
+    own rows.  JDBC: rows are appended with their ``batch_id``, ``SINK_BATCH_ROWS`` rows a statement; merge
+    them on (host, ip, session_start) in the database.  For an upsert by key see :class:`KeyedTable`.
     """
 
     def to_folder(batch: DataFrame, batch_id: int) -> None:
@@ -72,16 +82,23 @@ def foreach_batch_writer(
 
 def start_session_stream(
     sessions: DataFrame,
-    target: str | Mapping[str, str],
+    target: str | Mapping[str, str] | KeyedTable,
     checkpoint: str,
     available_now: bool = False,
     every: str = "1 second",
 ) -> StreamingQuery:
-    """Start writing sessions; a restart with the same ``checkpoint`` continues where it ended."""
+    """Start writing sessions; a restart with the same ``checkpoint`` continues where it ended.
+
+    The state store of ``STATE_CONF`` is set in the session of ``sessions``; a stream that was started with
+    another one keeps it.  How much a micro-batch takes is the source's option (``read_web_events``).
+    """
+    for key, value in STATE_CONF.items():
+        sessions.sparkSession.conf.set(key, value)
+    write = target.upsert if isinstance(target, KeyedTable) else foreach_batch_writer(target)
     writer = (
         sessions.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(foreach_batch_writer(target))
+        .foreachBatch(write)
     )
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return writer.trigger(**trigger).start()
@@ -92,3 +109,8 @@ def latest_sessions(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.parquet(path)
     columns = [c for c in stored.columns if c != "batch_id"]
     return dedup(stored, KEYS["sessionized_events"], ["batch_id"], keep="last").select(*columns)
+
+
+def session_table(spark: SparkSession, path: str) -> KeyedTable:
+    """The sessions of a stream as a table with one row per (host, ip, session_start)."""
+    return KeyedTable(spark, path, KEYS["sessionized_events"], "session_start")
