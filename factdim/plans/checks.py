@@ -372,7 +372,7 @@ FROM lists GROUP BY user_id, date""",
 WITH {DEVICE_DAYS},
 masks AS (
   SELECT user_id, browser_type,
-         coalesce(bit_or(CAST(1 AS BIGINT) << CAST(31 - age AS INTEGER)) FILTER (age < 32), 0) AS datelist_int,
+         coalesce(bit_or(CAST(1 AS BIGINT) << CAST(greatest(31 - age, 0) AS INTEGER)) FILTER (age < 32), 0) AS datelist_int,
          CAST(count(DISTINCT age) FILTER (age < 32) AS INTEGER) AS days_active,
          coalesce(bool_or(age < 7), false) AS active_7d,
          coalesce(bool_or(age < 28), false) AS active_28d
