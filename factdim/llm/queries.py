@@ -165,4 +165,123 @@ FROM spelt s LEFT JOIN by_document b ON s.doc_id = b.doc_id
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op4_bit_sliced_top_k": TOP_K_SQL, "op7_license_labels": _license_sql()}
+#: Every window as text, and the smallest document that has it.
+WINDOWS_SQL = """
+WITH spelt AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, pos, array_to_string(w[pos + 1:pos + 13], ' ') AS s FROM spelt, unnest(range(len(w) - 12)) AS p(pos)
+), firsts AS (
+    SELECT s, min(doc_id) AS first FROM windows GROUP BY s
+), gone AS (
+    SELECT DISTINCT doc_id, pos + k AS spot
+    FROM windows JOIN firsts USING (s), unnest(range(13)) AS t(k) WHERE first < doc_id
+), words AS (
+    SELECT doc_id, spot, w[spot + 1] AS word FROM spelt, unnest(range(len(w))) AS p(spot)
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY spot) AS text
+    FROM words ANTI JOIN gone USING (doc_id, spot) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM spelt LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of a text expression: byte by byte, eight shifts each."""
+    octet = f"CAST('0x' || substr(hex(encode({text})), CAST(2 * i - 1 AS BIGINT), 2) AS BIGINT)"
+    octets = f"list_transform(range(1, octet_length(encode({text})) + 1), lambda i: {octet})"
+    shifts = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, (c & 1) * 3988292384))"
+    return f"xor(list_reduce([4294967295] || {octets}, lambda a, b: {shifts}), 4294967295)"
+
+
+#: Runs by definition: equal words a distance apart, islands of neighbouring places, no smaller period around.
+RUNS_SQL = f"""
+WITH spelt AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, {_crc32("CAST(doc_id AS VARCHAR)")} AS h
+    FROM documents
+), planned AS (
+    SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS plant, h // 10 AS g,
+           CASE WHEN len(w) > 0 THEN (h // 10) % len(w) ELSE 0 END AS a
+    FROM spelt
+), words AS (
+    SELECT doc_id, n, i, CASE WHEN plant AND i >= a THEN w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] ELSE w[i + 1] END AS word
+    FROM planned, unnest(range(n)) AS r(i)
+), same AS (
+    SELECT x.doc_id, y.i - x.i AS period, x.i
+    FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), placed AS (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, period ORDER BY i) AS island FROM same
+), stretches AS (
+    SELECT doc_id, period, min(i) AS start, count(*) + period AS length FROM placed GROUP BY doc_id, period, island
+), long AS (
+    SELECT * FROM stretches WHERE length >= greatest(6, 4 * period)
+), runs AS (
+    SELECT * FROM long r WHERE NOT EXISTS (
+        SELECT 1 FROM long s WHERE s.doc_id = r.doc_id AND s.period < r.period
+            AND s.start <= r.start AND s.start + s.length >= r.start + r.length)
+), best AS (
+    SELECT * FROM runs
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs,
+           string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), collapsed AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT p.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+       CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM planned p LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN collapsed USING (doc_id)
+"""
+
+#: Near words by equal texts with one letter left out or replaced by a star.
+SPELLING_SQL = f"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents WHERE text IS NOT NULL
+), counted AS (
+    SELECT doc_id || ':' || run AS named, run, count(*) AS n FROM runs GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, n, {_crc32("named")} AS h FROM counted
+), written AS (
+    SELECT CASE WHEN h % 97 = 0 THEN concat(substr(run, 1, h % length(run)), substr(run, h % length(run) + 2)) ELSE run END AS word, n
+    FROM hashed
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM written WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), parts AS (
+    SELECT word, substr(word, 1, i) AS before, substr(word, i + 2) AS behind FROM words, unnest(range(length(word))) AS r(i)
+), near AS (
+    SELECT DISTINCT a.word, b.word AS other FROM parts a JOIN parts b USING (before, behind) WHERE a.word <> b.word
+      AND length(a.word) = length(b.word)
+    UNION SELECT p.word, w.word FROM parts p JOIN words w ON w.word = before || behind
+    UNION SELECT w.word, p.word FROM parts p JOIN words w ON w.word = before || behind
+), ranked AS (
+    SELECT near.word, other, n, count(*) OVER (PARTITION BY near.word) AS n_near,
+           row_number() OVER (PARTITION BY near.word ORDER BY n DESC, other) AS place
+    FROM near JOIN words ON words.word = other
+), formed AS (
+    SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.n >= 2 * w.n THEN other END AS form,
+           CASE WHEN r.n >= 2 * w.n THEN r.n END AS form_n
+    FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1
+), chains AS (
+    SELECT word, word AS root FROM formed
+    UNION ALL SELECT c.word, f.form FROM chains c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL
+), ended AS (
+    SELECT c.word, c.root FROM chains c JOIN formed f ON f.word = c.root WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ended USING (word)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_bit_sliced_top_k": TOP_K_SQL,
+    "op7_license_labels": _license_sql(),
+    "op11_substring_dedup": WINDOWS_SQL,
+    "op12_periodic_runs": RUNS_SQL,
+    "op13_spelling_variants": SPELLING_SQL,
+}

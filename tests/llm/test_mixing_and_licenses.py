@@ -103,3 +103,14 @@ def test_licenses(spark):
     assert by_id[5][0].labels == by_id[6][0].labels == "mit" and by_id[5][0].base_labels == ""
     assert by_id[0][0].score == 0.0
     assert license_labels(df.limit(0)).collect() == []
+
+
+def test_license_of_a_very_long_text(spark):
+    """More than two megabytes in one document: work grows with the length, not with its square."""
+    n = 400_000
+    words = [f"w{i % 977}" for i in range(n)]
+    words[1000:1002], words[n - 4 :] = ["MIT", "license"], ["GNU", "general", "public", "License"]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, None), (3, "mit")], "doc_id long, text string")
+    found = {r.doc_id: r for r in license_labels(df).collect()}
+    assert (found[1].n_words, found[1].n_base, found[1].first_word, found[1].last_word) == (n, 2, 1000, n - 4)
+    assert found[1].base_labels == "gpl,mit" and (found[2].n_words, found[3].n_words) == (0, 1)

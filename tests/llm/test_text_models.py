@@ -120,3 +120,19 @@ def test_table_is_normalised_and_training_helps():
     table = model.table()
     assert np.allclose((10.0**table).sum(1), 1, atol=1e-3)
     assert table[row, target].mean() > start + 0.5
+
+
+def test_different_texts_under_one_header_are_all_learned_from(spark):
+    """Labels of documents that share most of their words, and a label of each kind on equal texts."""
+    rng = random.Random(9)
+    header = " ".join("h" + "".join(rng.choices("abcdefg", k=5)) for _ in range(200))
+    rows, marks = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        own = " ".join("".join(rng.choices("mnopqrst", k=6)) for _ in range(10))
+        rows.append((i, f"{header} {own} {'vilewordone vilewordtwo vilewordsix' if toxic else ''}"))
+        marks.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([*marks, (0, 0), (1, None), (None, 1)], "doc_id long, toxic int")
+    found = {r.doc_id: r.predicted for r in toxicity(docs, labels).collect()}
+    assert found == dict(marks)

@@ -3,7 +3,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from factdim.llm import token_counts as tc
+from factdim.llm.common import first_by_hash, largest
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
@@ -42,3 +45,16 @@ def test_long_texts_are_split_lazily():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert tc.token_counts(df, PATH).collect() == []
+
+
+def test_largest_and_first_by_hash_take_at_most_so_many(spark):
+    counts = spark.range(1, 2001).selectExpr("id", "cast(4000 / id as int) + 1 as n")
+    for most in (0, 1, 10, 100, 1999, 2000, 5000):
+        found = [r.n for r in largest(counts, F.col("n"), most).collect()]
+        assert len(found) <= most
+        left_out = counts.count() - len(found)
+        assert not left_out or len(found) == 0 or min(found) > min(r.n for r in counts.collect())
+        assert first_by_hash(counts, "id", most).count() <= most
+    assert largest(counts, F.col("n"), 2000).count() == first_by_hash(counts, "id", 2000).count() == 2000
+    assert 1500 < first_by_hash(counts, "id", 1800).count() <= 1800
+    assert largest(counts.limit(0), F.col("n"), 5).count() == 0

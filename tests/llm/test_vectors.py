@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from factdim.llm.bit_sliced import top_inner_products
 from factdim.llm.nearest import nearest
@@ -38,6 +39,24 @@ def test_top_k_equals_brute_force(spark):
     assert len(got) == len(want)
 
 
+def test_top_k_of_very_large_components(spark):
+    """No finite vector is dropped; what no long can hold is an error."""
+    big = [(0, [1.0, 2.0]), (20, [2.0**24, 0.0]), (1, [1.0, 1.0]), (2, [1e8, -3.0]), (3, [-(2.0**24), 1e9]), (41, [0.25, 1e9])]
+    rows = [(i, v, "x") for i, v in big]
+    got = top_inner_products(spark.createDataFrame(rows, SCHEMA), k=20).collect()
+    ints = {i: [math.floor(64 * x) for x in v] for i, v in big}
+    fits = lambda s: -(2**63) <= s < 2**63
+    want = set()
+    for q in (0, 20):
+        scores = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=True)), i) for i, v in ints.items() if i != q)
+        assert all(fits(s) for s, _ in scores)
+        want |= {(q, k, i, -s) for k, (s, i) in enumerate(scores, 1)}
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == want
+    for v in ([2.0**57, 1.0], [1e30, 0.0]):
+        with pytest.raises(Exception, match="2\\*\\*62|exceeds a long"):
+            top_inner_products(spark.createDataFrame([(0, v, "x"), (1, v, "x")], SCHEMA)).collect()
+
+
 def test_nearest_visiting_everything_equals_brute_force(spark):
     rows = vectors()
     found = nearest(spark.createDataFrame(rows, SCHEMA), k=10, every=20, share=1.1, slab_rows=64, chunk_queries=4).collect()
