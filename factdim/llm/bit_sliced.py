@@ -8,6 +8,8 @@ the most significant slice downward; rows equal in all slices at the boundary go
 
 from __future__ import annotations
 
+import operator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,8 +18,8 @@ from pyspark.sql import functions as F
 from factdim.llm.common import settle
 from factdim.llm.vectors import dealt, matrix, parts, search_slabs, usable
 
-#: Quantised components stay below 2 ** 30, so that products fit into a long.
-LARGEST = float(2**24)
+#: Quantised components from here on are refused: their spread would not fit into a long.
+LARGEST = float(2**62)
 
 SLAB_SCHEMA = "dim int, slab int, ids binary, low binary, bits binary, planes binary"
 
@@ -103,7 +105,7 @@ class Slab:
         """Bit slices of the inner products, less a constant, and the constant."""
         wanted: dict[int, list[int]] = {}
         flips: dict[int, list[bool]] = {}
-        constant = int(query @ self.low)
+        constant = sum(map(operator.mul, query.tolist(), self.low.tolist()))  # of any size
         for d in np.flatnonzero(query):
             size, negative, n = abs(int(query[d])), query[d] < 0, int(self.bits[d])
             if negative:  # -x = (2 ** n - 1 - x) - (2 ** n - 1): add the complement
@@ -129,11 +131,14 @@ class Slab:
         chosen, ties = best_rows(slices, present, k)
         rows = self._rows(chosen)
         rows = np.concatenate([rows, self._rows(ties)[: k - len(rows)]])
-        total = np.full(len(rows), constant, np.int64)
+        total = [constant] * len(rows)
         for w, bitmap in enumerate(slices):
             if bitmap is not None:
-                total += (bitmap[rows // 64] >> (rows % 64).astype(np.uint64) & np.uint64(1)).astype(np.int64) << w
-        return self.ids[rows], total
+                ones = (bitmap[rows // 64] >> (rows % 64).astype(np.uint64) & np.uint64(1)).tolist()
+                total = [t + (one << w) for t, one in zip(total, ones, strict=True)]
+        if total and not -(2**63) <= min(total) <= max(total) < 2**63:
+            raise OverflowError(f"a score of vector {own} exceeds a long")
+        return self.ids[rows], np.array(total, np.int64)
 
     @staticmethod
     def _rows(bitmap: np.ndarray) -> np.ndarray:
@@ -154,16 +159,19 @@ def top_inner_products(
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id; a query is no
     candidate of its own.  Components become floor(``scale`` * x).  Queries are the rows whose vec_id
     is divisible by ``every``, or ``queries`` (vec_id, embedding).  Vectors that are null, empty or hold a
-    null or non-finite component take no part, nor do null ids and components of 2**24 or more (their
-    products would not fit into a long).  Rows that share a vec_id are one vector, the smallest.  Vectors of
+    null or non-finite component take no part, nor do null ids.  A quantised component of 2**62 or more, or a
+    score among the best that exceeds a long, raises an error.  Rows that share a vec_id are one vector, the smallest.  Vectors of
     different length never meet.  Other columns are ignored; an empty table gives no rows.
     """
-    quantised = F.transform("embedding", lambda x: F.floor(x * scale))
-    found = usable(rows, zero=True, largest=LARGEST).withColumn("embedding", quantised)
+    too_large = F.raise_error(F.lit("a quantised component is 2**62 or more")).cast("long")
+    quantised = F.transform(
+        "embedding", lambda x: F.when(F.abs(x * scale) >= LARGEST, too_large).otherwise(F.floor(x * scale))
+    )
+    found = usable(rows, zero=True).withColumn("embedding", quantised)
     found = settle(found, "quantised")
     asked = found.where(F.col("vec_id") % every == 0)
     if queries is not None:
-        asked = usable(queries, zero=True, largest=LARGEST).withColumn("embedding", quantised)
+        asked = usable(queries, zero=True).withColumn("embedding", quantised)
     n_slabs, n_chunks = parts(found.count(), slab_rows), parts(asked.count(), chunk_queries)
 
     def build(key, group: pd.DataFrame) -> pd.DataFrame:

@@ -10,15 +10,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def usable(rows: DataFrame, zero: bool, largest: float = float("inf")) -> DataFrame:
+def usable(rows: DataFrame, zero: bool) -> DataFrame:
     """vec_id and embedding (double) of the vectors that take part in a search.
 
-    Left out: null ids, null or empty vectors, null or non-finite components, components of
-    ``largest`` or more in size, and, unless ``zero``, vectors of zeros.  Rows that share a vec_id
+    Left out: null ids, null or empty vectors, null or non-finite components and, unless ``zero``, vectors
+    of zeros.  Rows that share a vec_id
     are one vector, the smallest of them.
     """
     vector = F.col("embedding").cast("array<double>")
-    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(largest)))
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     found = rows.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("embedding")).where(
         F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite
     )
