@@ -92,20 +92,26 @@ def license_labels(
     spark = docs.sparkSession
     grams = template_grams(spark, (*PHRASES, *templates)).withColumnRenamed("words", "gram")
     words = F.regexp_extract_all(F.translate(text_or_empty(), UPPER, LOWER), F.lit(WORD), F.lit(0))
-    hashes = F.transform("words", lambda _, i: gram_hash(F.col("words"), i))
-    same = F.col("key") == F.col("hash")
-    for i in range(GRAM):  # verified word by word
-        same = same & (F.get("words", F.col("place") + (i - 1)) == F.get("gram", F.lit(i)))
-    # place 0 is a row without a hash that carries the document itself through the same pass
+    # every k-gram is hashed and looked up; those found leave with their own words, the others stay behind
+    known = [r[0] for r in grams.select("hash").distinct().collect()]  # as many as the templates have
+    places = F.filter(
+        F.transform("words", lambda _, i: i), lambda i: gram_hash(F.col("words"), i).isin(known)
+    )
+    hits = F.transform(places, lambda i: F.struct(
+        i.alias("place"), gram_hash(F.col("words"), i).alias("key"), F.slice("words", i + 1, GRAM).alias("found")
+    ))
+    # a row without a place carries the document itself through the same pass
+    itself = F.array(F.lit(None).cast("struct<place: int, key: bigint, found: array<string>>"))
+    same = (F.col("hit.key") == F.col("hash")) & (F.col("hit.found") == F.col("gram"))  # verified word by word
     votes = (
         docs.select("doc_id", F.xxhash64(text_or_empty()).alias("mark"), words.alias("words"))
-        .select("doc_id", "mark", "words", F.posexplode(F.concat(F.array(F.lit(None).cast("long")), hashes)).alias("place", "key"))
+        .select("doc_id", "mark", F.size("words").cast("long").alias("n_words"), F.explode(F.concat(itself, hits)).alias("hit"))
         .join(F.broadcast(grams), same, "left")
-        .where((F.col("place") == 0) | F.col("template").isNotNull())
+        .where(F.col("hit").isNull() | F.col("template").isNotNull())
         .select(
             "doc_id", "mark", "template", "label", "phrase", "size", "at",
-            (F.col("place") - 1 - F.col("at")).cast("long").alias("diagonal"),
-            F.when(F.col("place") == 0, F.size("words").cast("long")).alias("n_words"),
+            (F.col("hit.place") - F.col("at")).cast("long").alias("diagonal"),
+            F.when(F.col("hit").isNull(), F.col("n_words")).alias("n_words"),
         )
     )
     diagonals = votes.groupBy("doc_id", "mark", "template", "label", "phrase", "size", "diagonal").agg(
