@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factdim.llm.common import byte_words, count_terms, fold, settle, text_or_empty, texts_of
+from factdim.llm.common import byte_words, count_terms, fold, largest, settle, text_or_empty, texts_of
 
 #: At most so many frequent words, of at most HEAD_BYTES bytes each, are broadcast with their figures.
 HEAD_TERMS = 1 << 16
@@ -159,9 +159,8 @@ def _contexts(classes: np.ndarray) -> np.ndarray:
 def learn_vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
     """Collect the head, the endings and the totals from the word counts (term, n)."""
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    head = (
-        counts.where(F.length("term") <= HEAD_BYTES).orderBy(F.desc("n"), "term").limit(HEAD_TERMS).collect()
-    )
+    head = largest(counts.where(F.length("term") <= HEAD_BYTES), F.col("n"), HEAD_TERMS).collect()
+    head.sort(key=lambda r: (-r.n, bytes(r.term)))
     own = {bytes(r.term): k for k, r in enumerate(head[:WORD_CLASSES], 1)}
     # at most 65 793 endings of two bytes or less
     found = counts.mapInArrow(_ending_counts(own), "term binary, n long, words long").groupBy("term").agg(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factdim.llm.characters import SPACE, is_settled
-from factdim.llm.common import count_terms, ids_and_texts, settle, text_or_empty, texts_of, tokenizer_at
+from factdim.llm.common import count_terms, ids_and_texts, largest, settle, text_or_empty, texts_of, tokenizer_at
 
 # The split pattern of byte-level BPE, in general and for ASCII texts.
 PRE_TOKEN = regex.compile(
@@ -112,13 +112,8 @@ def token_counts(
     """
     spark = docs.sparkSession
     table = settle(piece_table(docs, tokenizer_path), "pieces")
-    head = {
-        r.term: r.pieces
-        for r in table.where(F.length("term") <= HEAD_CHARS)
-        .orderBy(F.desc("n"), "term")
-        .limit(head_terms)
-        .collect()
-    }
+    frequent = largest(table.where(F.length("term") <= HEAD_CHARS), F.col("n"), head_terms)
+    head = {r.term: r.pieces for r in frequent.select("term", "pieces").collect()}
     shared = spark.sparkContext.broadcast(head)
 
     def split_documents(batches) -> Iterator[pa.RecordBatch]:

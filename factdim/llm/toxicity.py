@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factdim.llm.common import fold, ids_and_texts, settle, text_or_empty
-from factdim.llm.shingles import shingle_sets
+from factdim.llm.common import first_by_hash, fold, ids_and_texts, largest, settle, text_or_empty
+from factdim.llm.shingles import mix64, shingle_sets
 
 WORD = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 PREFIX = 5
@@ -163,17 +163,15 @@ def _terms(text: str) -> tuple[set[str], int]:
 
 
 def _sketch_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The smallest shingle of each document: near copies mostly share it."""
+    """A hash of the whole shingle set of each document: only documents of equal sets share it."""
     for ids, texts in ids_and_texts(batches):
         for at in range(0, len(ids), 200):
             part = [t.encode() for _, t in zip(range(200), texts)]  # noqa: B905
             shingles, begins = shingle_sets(part)
-            full = np.flatnonzero(np.diff(begins))
-            least = np.zeros(len(part), np.uint64)
-            if len(full):
-                least[full] = np.minimum.reduceat(shingles, begins[full])
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(shingles))])
+            sketch = mix64(sums[begins[1:]] - sums[begins[:-1]] + np.diff(begins).astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[at : at + 200], pa.int64()), pa.array(least.astype(np.int64))], ["doc_id", "sketch"]
+                [pa.array(ids[at : at + 200], pa.int64()), pa.array(sketch.view(np.int64))], ["doc_id", "sketch"]
             )
 
 
@@ -207,25 +205,26 @@ def _count_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def train(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (3, 1)) -> Model | None:
     """Learn from the labelled documents whose crc32(doc_id) modulo ``held_out[0]`` is not ``held_out[1]``.
 
-    At most ``TRAINING_DOCUMENTS`` are taken; of near copies with the same smallest shingle one counts.
+    At most ``TRAINING_DOCUMENTS`` are taken; of documents with equal shingle sets and the same label one counts.
     Returns None if there are no labelled documents of both classes.
     """
     spark = docs.sparkSession
-    sample = (
+    labelled = (
         labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", held_out[0]) != held_out[1]))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(TRAINING_DOCUMENTS)
     )
-    sample = settle(sample, "labelled")
+    sample = first_by_hash(settle(labelled, "labelled"), "doc_id", TRAINING_DOCUMENTS)
     texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     # bounded by TRAINING_DOCUMENTS rows of two numbers
     sketched = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text")
     chosen = (
-        sketched.mapInArrow(_sketch_batches, "doc_id long, sketch long").groupBy("sketch").agg(F.min("doc_id").alias("doc_id"))
+        sketched.mapInArrow(_sketch_batches, "doc_id long, sketch long")
+        .join(F.broadcast(sample), "doc_id")
+        .groupBy("sketch", "toxic")
+        .agg(F.min("doc_id").alias("doc_id"))
     )
-    chosen = settle(chosen.select("doc_id").distinct().join(sample, "doc_id"), "labelled")
+    chosen = settle(chosen.select("doc_id", "toxic").distinct(), "chosen")
     labelled = texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text")
     counts = settle(
         labelled.mapInArrow(_count_batches, "term string, toxic long, clean long")
@@ -240,14 +239,13 @@ def train(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (3, 1)
     a, b = F.col("toxic") + PRIOR, F.col("clean") + PRIOR
     odds = F.log(a / (n_toxic + 2 * PRIOR - a)) - F.log(b / (n_clean + 2 * PRIOR - b))
     spread = F.sqrt(1 / a + 1 / (n_toxic + 2 * PRIOR - a) + 1 / b + 1 / (n_clean + 2 * PRIOR - b))
-    standing_out = (
+    candidates = (
         counts.where(~F.col("term").isin("", "-") & (F.length("term") <= 64))
         .select("term", "clean", odds.alias("odds"), (odds / spread).alias("z"))
         .where((F.col("z") >= MIN_Z) & (F.col("odds") * (1 - 2 / F.col("z")) >= MIN_ODDS))
-        .orderBy(F.desc("z"), "term")
-        .limit(MODEL_TERMS)
-        .collect()
     )
+    standing_out = largest(candidates, F.col("z"), MODEL_TERMS).collect()
+    standing_out.sort(key=lambda r: (-r.z, r.term))
     if not standing_out:
         return Model({}, 1.0, *fit_logistic(np.zeros(2), np.array([0.0, 1.0]), np.array([n_clean, n_toxic], float)))
     scores = {r.term: r.odds for r in standing_out}
