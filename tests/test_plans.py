@@ -88,7 +88,8 @@ def test_shuffle_counts(practice):
     assert exchanges(op.datelist_int(lists, "activity_datelist", _january()[1], ["host"])) == 1
     status = op.backfill_actor_status(practice.actor_films(), 2001)
     assert exchanges(op.scd2_backfill(status, as_of=2001)) == exchanges(status) == 2
-    assert exchanges(op.longest_streak(games, F.col("pts") > 10)) == 1
+    # games by (player, slot) twice, slots by player, pieces and offsets to meet, runs by player
+    assert exchanges(op.longest_streak(games, F.col("pts") > 10)) == 5
     assert count_nodes(op.preview(op.avg_kills_per_game(practice.match_details()), "avg_kills_per_game"), "TakeOrderedAndProject") == 1
 
 
