@@ -2,31 +2,36 @@
 
 A table hashes a vector to the cell of a grid over a few Gaussian projections.  Neighbours that miss the
 query's own cell lie in cells next to it, so a query visits the cells of a table in the order of their
-estimated success (the squared distance from its projections to the cell) until they hold a given share
-of the rows, and enough of them to give the neighbours asked for.  The candidates of all tables are merged and ranked by exact distance.
+estimated success (the squared distance from its projections to the cell) until they hold as many rows as
+it may look at, a multiple of the square root of the table.  Rows by (table, cell) meet queries by (table,
+visited cell) in an equi-join; the candidates of all tables are merged and ranked by exact distance.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factdim.llm.common import settle
-from factdim.llm.vectors import dealt, matrix, parts, search_slabs, usable
+from factdim.llm.common import first_by_hash, settle
+from factdim.llm.vectors import dealt, matrix, parts, usable
+
+#: Vectors the grid's middle and scale are taken from.  Every row is indexed.
+FIT_ROWS = 16_384
 
 
 @dataclass(frozen=True)
 class Grid:
-    """The hash functions: ``tables`` grids over ``width`` projections, in cells of ``cell`` times the scale.
+    """The hash functions of vectors of one length: ``tables`` grids over ``width`` projections.
 
-    Slots farther out than ``slots`` / 2 count as the outermost, so that a table has at most
-    slots ** width cells, a bound that does not depend on the rows.
+    A cell is ``cell`` times the spread of the vectors wide.  Slots farther out than ``slots`` / 2 count as the
+    outermost, so that a table has at most slots ** width cells, a bound that does not depend on the rows.
     """
 
     tables: int
@@ -34,14 +39,21 @@ class Grid:
     cell: float
     slots: int
     seed: int
-    scale: float
+    middle: np.ndarray = field(compare=False)
+    spread: float
+
+    @cached_property
+    def axes(self) -> tuple[np.ndarray, np.ndarray]:
+        rng = np.random.default_rng([self.seed, len(self.middle)])
+        axes = rng.standard_normal((len(self.middle), self.tables * self.width))
+        return axes, rng.random(self.tables * self.width) - 0.5
 
     def project(self, vectors: np.ndarray) -> np.ndarray:
         """Projections in units of cells: rows x tables x width."""
-        rng = np.random.default_rng([self.seed, vectors.shape[1]])
-        axes = rng.standard_normal((vectors.shape[1], self.tables * self.width))
-        shift = rng.random(self.tables * self.width)
-        return ((vectors @ axes) / (self.cell * self.scale) + shift).reshape(-1, self.tables, self.width)
+        axes, shift = self.axes
+        with np.errstate(over="ignore", invalid="ignore"):
+            found = ((vectors - self.middle) / (self.cell * self.spread)) @ axes + shift
+        return np.nan_to_num(found).reshape(-1, self.tables, self.width)
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
         """Cell numbers: rows x tables."""
@@ -49,66 +61,46 @@ class Grid:
         slot = np.clip(np.floor(self.project(vectors)), -half, half - 1).astype(np.int64) + half
         return slot @ self.slots ** np.arange(self.width)
 
-    def visits(self, projected: np.ndarray, cells: np.ndarray, counts: np.ndarray, share: float, least: int) -> np.ndarray:
-        """Which ``cells`` of a table each projected query visits (queries x cells): as many as hold both
-        ``share`` of the rows and ``least`` rows, or all."""
+    def visits(self, projected: np.ndarray, cells: np.ndarray, counts: np.ndarray, rows: int) -> np.ndarray:
+        """Positions in ``cells`` of a table that one query visits: best first, until they hold ``rows`` rows."""
         half = self.slots // 2
-        slot = cells[:, None] // self.slots ** np.arange(self.width) % self.slots - half
-        low = np.where(slot == -half, -np.inf, slot)
-        high = np.where(slot == half - 1, np.inf, slot + 1)
-        cost = np.zeros((len(projected), len(cells)))
-        for m in range(self.width):
-            x = projected[:, m, None]
-            cost += np.maximum(np.maximum(low[:, m] - x, x - high[:, m]), 0) ** 2
-        order = np.argsort(cost, 1, kind="stable")
-        seen = np.cumsum(counts[order], 1) - counts[order]
-        out = np.zeros(cost.shape, bool)
-        np.put_along_axis(out, order, seen < max(share * counts.sum(), least), 1)
-        return out
-
-
-def nearest(
-    rows: DataFrame,
-    queries: DataFrame | None = None,
-    k: int = 10,
-    every: int = 100,
-    tables: int = 12,
-    width: int = 6,
-    cell: float = 1.5,
-    slots: int = 6,
-    share: float = 0.13,
-    seed: int = 3,
-    slab_rows: int = 16_384,
-    chunk_queries: int = 512,
-) -> DataFrame:
-    """The ``k`` nearest rows found for each query: query_id, rank (from 1), vec_id, score.
-
-    Score is the Euclidean distance in double precision; ties go to the smaller vec_id; a query is no
-    candidate of its own.  Queries are the rows whose vec_id is divisible by ``every``, or ``queries``
-    (vec_id, embedding).  Vectors that are null, empty, zero or hold a null or non-finite component take no
-    part, nor do null ids.  Rows that share a vec_id are one vector, the smallest.  Vectors of different
-    length never meet.  Other columns are ignored; an empty table gives no rows.
-
-    Every row is indexed, in ``tables`` tables.  ``share`` is the part of the rows a query visits in
-    each table: more finds more.  At least ``k`` + 1 rows of its length are visited, so every query gets ``k``
-    neighbours, or all there are.  The cells' row counts (at most slots ** width a table) are the only thing
-    all tasks share.  Distances above half the largest double are reported as infinity.
-    """
-    spark = rows.sparkSession
-    found = settle(usable(rows, zero=False), "vectors")
-    asked = found.where(F.col("vec_id") % every == 0)
-    if queries is not None:
-        asked = usable(queries, zero=False)
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    total = found.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(norm, 0.5).alias("scale")).first()
-    grid = Grid(tables, width, cell, slots, seed, total.scale or 1.0)
-    n_slabs, n_chunks = parts(total.n, slab_rows), parts(asked.count(), chunk_queries)
+        low = np.concatenate([[-np.inf], np.arange(1 - half, half)])
+        high = np.concatenate([np.arange(1 - half, half), [np.inf]])
+        cost = np.zeros(1)
+        for x in projected:
+            away = np.maximum(np.maximum(low - x, x - high), 0) ** 2
+            cost = (away[:, None] + cost).ravel()
+        cost = cost[cells]
+        # a cell of the directory holds a row at least, so no more than ``rows`` cells are needed
+        best = np.argpartition(cost, rows - 1)[:rows] if rows < len(cost) else np.arange(len(cost))
+        best = best[np.lexsort((cells[best], cost[best]))]
+        return best[np.cumsum(counts[best]) - counts[best] < rows]
+
+
+def _fit(found: DataFrame, **shape) -> dict[int, Grid]:
+    """A grid for each length of vector, around the medians of the components, as wide as their quartiles."""
+    sample = first_by_hash(found, "vec_id", FIT_ROWS)
+    quartiles = F.percentile_approx("x", [0.25, 0.5, 0.75], 1000)
+    by: dict[int, list] = {}
+    components = sample.select("dim", F.posexplode("embedding").alias("at", "x"))
+    for r in components.groupBy("dim", "at").agg(quartiles.alias("q")).orderBy("dim", "at").collect():
+        by.setdefault(r.dim, []).append(r.q)
+    grids = {}
+    for (dim,) in found.select("dim").distinct().collect():
+        low, middle, high = np.array(by.get(dim, [[0.0] * 3] * dim)).T
+        with np.errstate(over="ignore"):
+            spread = float(np.sqrt(((high - low) ** 2).sum())) / 1.35
+        grids[dim] = Grid(**shape, middle=middle, spread=spread if 0 < spread < np.inf else 1.0)
+    return grids
+
+
+def _hashed(rows: DataFrame, grids: dict[int, Grid]) -> DataFrame:
+    """The rows with their cell in every table."""
 
     def hash_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            frame = batch.to_pandas()
-            for dim, group in frame.groupby("dim"):
-                codes = grid.codes(matrix(group["embedding"]))
+            for dim, group in batch.to_pandas().groupby("dim"):
+                codes = grids[dim].codes(matrix(group["embedding"]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(group["vec_id"].to_numpy(), pa.int64()),
@@ -119,66 +111,129 @@ def nearest(
                     ["vec_id", "dim", "embedding", "codes"],
                 )
 
-    index = settle(
-        found.select("vec_id", "dim", "embedding").mapInArrow(
-            hash_rows, "vec_id long, dim int, embedding array<double>, codes array<long>"
-        ),
-        "hashed-vectors",
+    return rows.select("vec_id", "dim", "embedding").mapInArrow(
+        hash_rows, "vec_id long, dim int, embedding array<double>, codes array<long>"
     )
-    counted = index.select("dim", F.posexplode("codes").alias("place", "code")).groupBy("dim", "place", "code").count()
-    cells: dict[int, list] = {}
-    for r in counted.orderBy("dim", "place", "code").collect():
-        cells.setdefault(r.dim, [[] for _ in range(tables)])[r.place].append((r.code, r["count"]))
-    shared = spark.sparkContext.broadcast(
-        {d: [np.array(t, np.int64).reshape(-1, 2).T for t in by] for d, by in cells.items()}
+
+
+def _probes(asked: DataFrame, cells: DataFrame, grids: dict[int, Grid], k: int, reach: float) -> DataFrame:
+    """The cells each query visits: query_id, dim, place (table), codes, and the rows they hold."""
+    directory: dict[int, list] = {}
+    for r in cells.groupBy("dim", "place", "code").count().orderBy("dim", "place", "code").collect():
+        by = directory.setdefault(r.dim, [[] for _ in range(grids[r.dim].tables)])
+        by[r.place].append((r.code, r["count"]))
+    shared = asked.sparkSession.sparkContext.broadcast(
+        {d: [np.array(t, np.int64).reshape(-1, 2).T for t in by] for d, by in directory.items()}
     )
 
     def choose_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for dim, group in batch.to_pandas().groupby("dim"):
-                projected = grid.project(matrix(group["embedding"]))
-                packed: list[list[bytes]] = [[] for _ in range(len(group))]
-                for t, (codes, counts) in enumerate(shared.value.get(dim, [])):
-                    bits = np.packbits(grid.visits(projected[:, t], codes, counts, share, k + 1), axis=1)
-                    for q, row in enumerate(bits):
-                        packed[q].append(row.tobytes())
+                if dim not in shared.value:
+                    continue
+                projected = grids[dim].project(matrix(group["embedding"]))
+                out = []
+                for t, (codes, counts) in enumerate(shared.value[dim]):
+                    rows = max(k + 1, int(np.ceil(reach * np.sqrt(counts.sum()))))
+                    for q, own in enumerate(group["vec_id"]):
+                        best = grids[dim].visits(projected[q, t], codes, counts, rows)
+                        out.append((own, dim, t, codes[best], int(counts[best].sum())))
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int64())
+                names = ["query_id", "dim", "place", "codes", "n"]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(group["vec_id"].to_numpy(), pa.int64()),
-                        pa.array(np.full(len(group), dim), pa.int32()),
-                        pa.array(list(group["embedding"]), pa.list_(pa.float64())),
-                        pa.array(packed, pa.list_(pa.binary())),
-                    ],
-                    ["vec_id", "dim", "embedding", "visits"],
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names
                 )
 
-    probes = settle(
-        asked.select("vec_id", "dim", "embedding").mapInArrow(
-            choose_cells, "vec_id long, dim int, embedding array<double>, visits array<binary>"
-        ),
-        "probes",
+    return asked.select("vec_id", "dim", "embedding").mapInArrow(
+        choose_cells, "query_id long, dim int, place int, codes array<long>, n long"
+    )
+
+
+def candidates(
+    found: DataFrame, asked: DataFrame, grid: dict, k: int, reach: float, slab_rows: int, slab_pairs: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (dim, slab, vec_id, embedding), and per query and slab the rows of cells it visits, once each.
+
+    A slab holds ``slab_rows`` rows or fewer, and about ``slab_pairs`` of the rows queries look at.
+    """
+    copies = Window.partitionBy("embedding").orderBy("vec_id")
+    distinct = found.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
+    grids = _fit(found, **grid)
+    index = settle(_hashed(distinct, grids), "hashed-vectors")
+    cells = index.select("vec_id", "dim", F.posexplode("codes").alias("place", "code"))
+    probes = settle(_probes(asked, cells, grids, k, reach), "probes")
+    looked_at = probes.agg(F.sum("n")).first()[0] or 0
+    slab = dealt("vec_id", max(parts(index.count(), slab_rows), parts(looked_at, slab_pairs)))
+    met = (
+        probes.select("query_id", "dim", "place", F.explode("codes").alias("code"))
+        .join(cells, ["dim", "place", "code"])
+        .where(F.col("query_id") != F.col("vec_id"))
+        .groupBy("dim", slab.alias("slab"), "query_id")
+        .agg(F.collect_set("vec_id").alias("candidates"))
     )
+    return index.select("vec_id", "dim", "embedding", slab.alias("slab")), met
 
-    def find(slab: pd.DataFrame, chunk: pd.DataFrame) -> pd.DataFrame:
+
+def nearest(
+    rows: DataFrame,
+    queries: DataFrame | None = None,
+    k: int = 10,
+    every: int = 100,
+    tables: int = 16,
+    width: int = 16,
+    cell: float = 0.5,
+    slots: int = 2,
+    reach: float = 2.2,
+    seed: int = 3,
+    slab_rows: int = 16_384,
+    slab_pairs: int = 4_000_000,
+) -> DataFrame:
+    """The ``k`` nearest rows found for each query: query_id, rank (from 1), vec_id, score.
+
+    Score is the Euclidean distance in double precision; ties go to the smaller vec_id; a query is no
+    candidate of its own.  Queries are the rows whose vec_id is divisible by ``every``, or ``queries``
+    (vec_id, embedding).  Vectors that are null, empty, zero or hold a null or non-finite component take no
+    part, nor do null ids.  Rows that share a vec_id are one vector, the smallest.  Vectors of different
+    length never meet.  Other columns are ignored; an empty table gives no rows.
+
+    Every row is indexed, in ``tables`` tables, but of equal vectors only the ``k`` + 1 smallest ids, as no
+    others can be among the nearest of a query.  In each table a query looks at ``reach`` times the square
+    root of the rows of its length: more finds more.  It looks at ``k`` + 1 at least, so every query gets
+    ``k`` neighbours, or all there are.  The cells' row counts (at most slots ** width a table) are the only
+    thing all tasks share.  The grid's middle and spread come from ``FIT_ROWS`` vectors, the first by hash
+    of their id.  Distances above half the largest double are reported as infinity.
+    """
+    found = settle(usable(rows, zero=False), "vectors")
+    asked = found.where(F.col("vec_id") % every == 0)
+    if queries is not None:
+        asked = usable(queries, zero=False)
+    grid = {"tables": tables, "width": width, "cell": cell, "slots": slots, "seed": seed}
+    slabs, met = candidates(found, asked, grid, k, reach, slab_rows, slab_pairs)
+
+    def measure(slab: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        if not len(slab) or not len(asking):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        slab = slab.sort_values("vec_id")
         vectors, ids = matrix(slab["embedding"]), slab["vec_id"].to_numpy()
-        codes = np.stack([np.asarray(c, np.int64) for c in slab["codes"]])
-        directory = shared.value[int(slab["dim"].iloc[0])]
-        at = [np.searchsorted(directory[t][0], codes[:, t]) for t in range(len(directory))]
         out = []
-        for own, vector, visits in zip(chunk["vec_id"], chunk["embedding"], chunk["visits"], strict=True):
-            visited = np.zeros(len(ids), bool)
-            for t, bits in enumerate(visits):
-                visited |= np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)[at[t]]
-            visited &= ids != own
-            candidates = np.flatnonzero(visited)
+        for own, vector, chosen in zip(asking["query_id"], asking["vector"], asking["candidates"], strict=True):
+            at = np.searchsorted(ids, np.sort(chosen))
             with np.errstate(over="ignore"):
-                distance = np.sqrt(((vectors[candidates] - np.asarray(vector, np.float64)) ** 2).sum(1))
-            if len(distance) > k:
+                distance = np.sqrt(((vectors[at] - np.asarray(vector, np.float64)) ** 2).sum(1))
+            if len(at) > k:
                 near = distance <= np.partition(distance, k - 1)[k - 1]
-                candidates, distance = candidates[near], distance[near]
-            best = np.lexsort((ids[candidates], distance))[:k]
-            out.append(pd.DataFrame({"query_id": own, "vec_id": ids[candidates[best]], "score": distance[best]}))
+                at, distance = at[near], distance[near]
+            best = np.lexsort((ids[at], distance))[:k]
+            out.append(pd.DataFrame({"query_id": own, "vec_id": ids[at[best]], "score": distance[best]}))
         return pd.concat(out)
 
-    slabs = index.withColumn("slab", dealt("vec_id", n_slabs))
-    return search_slabs(slabs, probes, n_slabs, n_chunks, find, k, descending=False, score_type="double")
+    asking = met.join(asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")), "query_id")
+    near = slabs.groupBy("dim", "slab").cogroup(asking.groupBy("dim", "slab")).applyInPandas(
+        measure, "query_id long, vec_id long, score double"
+    )
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return (
+        near.withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
