@@ -3,7 +3,7 @@
 A table hashes a vector to the cell of a grid over a few Gaussian projections.  Neighbours that miss the
 query's own cell lie in cells next to it, so a query visits the cells of a table in the order of their
 estimated success (the squared distance from its projections to the cell) until they hold as many rows as
-it may look at, a multiple of the square root of the table.  Rows by (table, cell) meet queries by (table,
+it may look at, which grow less than the table does.  Rows by (table, cell) meet queries by (table,
 visited cell) in an equi-join; the candidates of all tables are merged and ranked by exact distance.
 """
 
@@ -25,6 +25,10 @@ from factdim.llm.vectors import dealt, matrix, parts, usable
 #: Vectors the grid's middle and scale are taken from.  Every row is indexed.
 FIT_ROWS = 16_384
 
+#: How the rows a query looks at in a table grow with the rows n: n ** GROWTH.  On vectors without any
+#: structure, the hardest case, recall fell with the square root.
+GROWTH = 0.75
+
 
 @dataclass(frozen=True)
 class Grid:
@@ -134,7 +138,7 @@ def _probes(asked: DataFrame, cells: DataFrame, grids: dict[int, Grid], k: int,
                 projected = grids[dim].project(matrix(group["embedding"]))
                 out = []
                 for t, (codes, counts) in enumerate(shared.value[dim]):
-                    rows = max(k + 1, int(np.ceil(reach * np.sqrt(counts.sum()))))
+                    rows = max(k + 1, int(np.ceil(reach * counts.sum() ** GROWTH)))
                     for q, own in enumerate(group["vec_id"]):
                         best = grids[dim].visits(projected[q, t], codes, counts, rows)
                         out.append((own, dim, t, codes[best], int(counts[best].sum())))
@@ -183,7 +187,7 @@ def nearest(
     width: int = 16,
     cell: float = 0.5,
     slots: int = 2,
-    reach: float = 2.2,
+    reach: float = 0.22,
     seed: int = 3,
     slab_rows: int = 16_384,
     slab_pairs: int = 4_000_000,
@@ -197,8 +201,8 @@ def nearest(
     length never meet.  Other columns are ignored; an empty table gives no rows.
 
     Every row is indexed, in ``tables`` tables, but of equal vectors only the ``k`` + 1 smallest ids, as no
-    others can be among the nearest of a query.  In each table a query looks at ``reach`` times the square
-    root of the rows of its length: more finds more.  It looks at ``k`` + 1 at least, so every query gets
+    others can be among the nearest of a query.  In each table a query looks at ``reach`` times the rows of
+    its length to the power of ``GROWTH``: more finds more.  It looks at ``k`` + 1 at least, so every query gets
     ``k`` neighbours, or all there are.  The cells' row counts (at most slots ** width a table) are the only
     thing all tasks share.  The grid's middle and spread come from ``FIT_ROWS`` vectors, the first by hash
     of their id.  Distances above half the largest double are reported as infinity.
