@@ -207,10 +207,11 @@ def mix_texts(docs: DataFrame, max_repeat: int = 2, **options) -> DataFrame:
         .withColumn("_copy", F.row_number().over(pair.orderBy("source", "place")))
         .select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_copy", F.col("size").alias("_size"), "_ranges")
     )
-    numbered = docs.withColumn("_own", F.xxhash64(F.lit(seed), F.col("doc_id"), text_or_empty())).withColumn(
-        "_number", F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy(F.asc_nulls_last("source")))
+    own = F.xxhash64(F.lit(seed), F.col("doc_id"), text_or_empty()).alias("_own")
+    numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own).withColumn(
+        "_number", F.row_number().over(Window.partitionBy("row.doc_id", "_own").orderBy(F.asc_nulls_last("row.source")))
     )
-    match = numbered["doc_id"].eqNullSafe(ranges["_id"]) & (numbered["_own"] == ranges["_mark"]) & (numbered["_number"] == ranges["_copy"])
+    match = F.col("row.doc_id").eqNullSafe(ranges["_id"]) & (numbered["_own"] == ranges["_mark"]) & (numbered["_number"] == ranges["_copy"])
     rounds = []
     for j in range(1, max_repeat + 1):
         kept = F.filter("_ranges", _taken_in(j))
@@ -218,14 +219,14 @@ def mix_texts(docs: DataFrame, max_repeat: int = 2, **options) -> DataFrame:
         part = F.array_join(
             F.flatten(F.transform(kept, lambda r: F.slice("_words", (r["first"] + 1).cast("int"), r["length"].cast("int")))), " "
         )
-        rounds.append(F.when(count == F.col("_size"), F.col("text")).when(count > 0, part))
+        rounds.append(F.when(count == F.col("_size"), F.col("row.text")).when(count > 0, part))
     mixed = (
         numbered.join(ranges, match)
-        .withColumn("_words", F.regexp_extract_all(text_or_empty(), F.lit(WORD), F.lit(0)))
+        .withColumn("_words", F.regexp_extract_all(text_or_empty("row.text"), F.lit(WORD), F.lit(0)))
         .withColumn("_text", F.explode(F.array(*rounds)))
         .where(F.col("_text").isNotNull())
-        .withColumn("text", F.col("_text"))
     )
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return mixed.select(*docs.columns)
+        columns["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return mixed.select(*[columns[c].alias(c) for c in docs.columns])

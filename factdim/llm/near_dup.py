@@ -347,8 +347,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
 def without_near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
     """The rows of ``docs``, all columns, that are the first of their group; see :func:`near_duplicates`.
 
-    Of rows that share a doc_id all stay or go together; rows without doc_id stay.
+    Of rows that share a doc_id all stay or go together; rows without doc_id stay.  Of rows with the same
+    doc_id and the same text (null ids and null texts count as the same) one stays, the smallest by its other columns.
     """
     found = near_duplicates(docs, percent, words).where(F.col("doc_id").isNotNull())
     copies = found.groupBy("doc_id").agg(F.max("kept").alias("_kept")).where(~F.col("_kept")).select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    copies = settle(copies, "copies")
+    # rows whose id and text occur more than once are found by digest; only they move
+    digest = F.xxhash64(F.col("doc_id").cast("string"), "text")
+    several = settle(docs.groupBy(digest.alias("digest")).count().where(F.col("count") > 1).select("digest"), "repeated")
+    first = docs.join(copies, "doc_id", "left_anti")
+    marked = first.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), digest.alias("digest"))
+    others = [F.col(f"row.`{c}`").cast("string") for c in docs.columns if c not in ("doc_id", "text")]
+    one = F.min_by("row", F.struct(F.lit(0), *others)).alias("row")
+    repeated = marked.join(several, "digest", "left_semi").groupBy("row.doc_id", "row.text").agg(one)
+    return marked.join(several, "digest", "left_anti").select("row.*").unionByName(repeated.select("row.*"))

@@ -13,12 +13,14 @@ A group sends a snippet once, with the smallest id, however many of its document
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from factdim.llm.anchors import document_anchors
 from factdim.llm.common import settle, text_or_empty
@@ -64,7 +66,7 @@ class Documents:
         ids = table.column("doc_id").to_pylist()
         texts = [v.as_buffer().to_pybytes() for v in table.column("text")]
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
-        self.ids, self.texts = [ids[i] for i in order], [texts[i] for i in order]
+        self.order, self.ids, self.texts = order, [ids[i] for i in order], [texts[i] for i in order]
         ids = _joined(notes, "copy", "a", "<i8").tolist()
         digests = _joined(notes, "copy", "b", "V16").tolist()
         copies, copied_ids = set(zip(ids, digests, strict=True)), set(ids)
@@ -287,26 +289,33 @@ def _cut(length: int, characters: bool):
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), span)
         names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans")
         columns = list(zip(*rows, strict=True)) or [[] for _ in names]
-        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)})
+        table = pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)})
+        if "about" in docs.column_names:
+            table = table.append_column("about", docs.column("about").take(pa.array(group.order, pa.int64())))
+        return table
 
     return cut
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = 50, characters: bool = False, group_bytes: int = GROUP_BYTES, carry: Sequence[str] = ()
+) -> DataFrame:
     """Texts without the passages that documents with smaller ids hold.
 
     Returns doc_id, n_bytes (UTF-8), n_removed, n_spans (maximal removed runs), kept_sha256 (lower-case hex),
     kept (the remaining bytes) and spans (start, end).  Strings are judged on the input; matches never
-    cross documents.  With ``characters``, characters of which only a part would go are kept.
+    cross documents.  With ``characters``, characters of which only a part would go are kept.  The columns named by
+    ``carry`` come along with their row, as fields of a struct ``about``.
 
     A null or empty text has 0 bytes and stays as it is, as do texts of fewer than ``length`` bytes.  A row
     without doc_id takes no part and is kept whole.  Rows that share a doc_id are parts of one document:
-    they take nothing from each other, and each gives a row.  Other columns are ignored; an empty table
-    gives no rows.  ``length`` must be at least 32, which leaves windows room for several anchors.
+    they take nothing from each other, and each gives a row.  Columns not in ``carry`` are ignored; an empty
+    table gives no rows.  ``length`` must be at least 32, which leaves windows room for several anchors.
     """
     if length < 32:
         raise ValueError("length must be at least 32 bytes")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    about = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("about")] if carry else []
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *about)
     digests = settle(texts.select("doc_id", F.sha2("text", 256).alias("digest"), F.octet_length("text").alias("n")), "digests")
     groups = max(1, -(-(digests.agg(F.sum("n")).first()[0] or 0) // group_bytes))
     group_of = F.pmod(F.xxhash64("doc_id"), F.lit(groups))
@@ -327,10 +336,17 @@ def remove_repeats(docs: DataFrame, length: int = 50, characters: bool = False,
 
     copied = settle(copies.groupBy("grp").applyInArrow(pack, NOTE), "copies")
 
-    grouped = texts.withColumn("grp", group_of)
+    # rows without an id take no part, so any group will do
+    anywhere = F.pmod(F.xxhash64("text"), F.lit(groups))
+    carried = texts.withColumn("grp", F.when(F.col("doc_id").isNull(), anywhere).otherwise(group_of))
+    grouped = carried.drop("about")
     meet = lambda notes: grouped.groupBy("grp").cogroup(notes.groupBy("grp"))
     anchors = meet(copied).applyInArrow(_send_anchors(length, groups), NOTE)
     hot = anchors.groupBy("key").applyInArrow(_find_hot, NOTE)
     snippets = meet(copied.unionByName(hot)).applyInArrow(_send_snippets(length, groups), NOTE)
     repeats = snippets.groupBy("key").applyInArrow(_find_repeats(length), NOTE)
-    return meet(copied.unionByName(repeats)).applyInArrow(_cut(length, characters), RESULT)
+    notes = copied.unionByName(repeats)
+    result = StructType.fromDDL(RESULT)
+    if carry:
+        result = result.add(texts.schema["about"])
+    return carried.groupBy("grp").cogroup(notes.groupBy("grp")).applyInArrow(_cut(length, characters), result)
