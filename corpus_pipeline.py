@@ -15,13 +15,21 @@ from factdim.llm.toxicity import without_toxic
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score as toxic go; the labels of two folds in three are learned from."""
+    """Documents that score as toxic go; the labels of two folds in three are learned from.
+
+    Every row is judged by its text alone (null: empty), so repeated rows stay or go together; rows without id
+    are judged too and no label is theirs.
+    """
     labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
     return without_toxic(docs, labels, held_out=(3, 1), threshold=0.7)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays.
+
+    Of rows with the same id and text one stays.  Rows without id, without words or without text are copies of
+    no other document.
+    """
     prepare(spark)
     return without_near_duplicates(docs, percent=75, words=5)
 
@@ -29,16 +37,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 bytes and more that a document with a smaller id holds are cut out of the texts.
 
-    Characters are never cut in two.  Every document stays, if need be with an empty text.
+    Characters are never cut in two.  Every row stays, if need be with an empty text (a null text becomes empty),
+    with its own other columns.  Rows without id are left whole.
     """
     prepare(spark)
-    kept = remove_repeats(docs, length=50, characters=True).select("doc_id", F.decode("kept", "UTF-8").alias("_text"))
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    about = docs.groupBy("doc_id").agg(*[F.first(c).alias(c) for c in others]).withColumnRenamed("doc_id", "_id")
-    joined = kept.join(about, kept["doc_id"].eqNullSafe(about["_id"])).withColumn("text", F.col("_text"))
+    found = remove_repeats(docs, length=50, characters=True, carry=others)
+    text = F.decode("kept", "UTF-8")
+    columns = {c: F.col(f"about.`{c}`") for c in others}
+    columns |= {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": text}
     if "n_chars" in others:
-        joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*docs.columns)
+        columns["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return found.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
