@@ -3,8 +3,9 @@
 A table hashes a vector to the cell of a grid over a few Gaussian projections.  Neighbours that miss the
 query's own cell lie in cells next to it, so a query visits the cells of a table in the order of their
 estimated success (the squared distance from its projections to the cell) until they hold as many rows as
-it may look at, which grow less than the table does.  Rows by (table, cell) meet queries by (table,
-visited cell) in an equi-join; the candidates of all tables are merged and ranked by exact distance.
+it may look at, which grow less than the table does.  The posting lists of the cells, one per slab of rows, meet
+queries by (table, visited cell) in an equi-join, so that a row of the join is a cell and not a pair; the
+candidates of all tables are merged and ranked by exact distance.
 """
 
 from __future__ import annotations
@@ -168,12 +169,14 @@ def candidates(
     probes = settle(_probes(asked, cells, grids, k, reach), "probes")
     looked_at = probes.agg(F.sum("n")).first()[0] or 0
     slab = dealt("vec_id", max(parts(index.count(), slab_rows), parts(looked_at, slab_pairs)))
+    postings = cells.groupBy("dim", "place", "code", slab.alias("slab")).agg(F.collect_list("vec_id").alias("ids"))
     met = (
         probes.select("query_id", "dim", "place", F.explode("codes").alias("code"))
-        .join(cells, ["dim", "place", "code"])
-        .where(F.col("query_id") != F.col("vec_id"))
-        .groupBy("dim", slab.alias("slab"), "query_id")
-        .agg(F.collect_set("vec_id").alias("candidates"))
+        .join(postings, ["dim", "place", "code"])
+        .groupBy("dim", "slab", "query_id")
+        .agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("candidates"))
+        .withColumn("candidates", F.array_remove("candidates", F.col("query_id")))
+        .where(F.size("candidates") > 0)
     )
     return index.select("vec_id", "dim", "embedding", slab.alias("slab")), met
 
@@ -183,11 +186,11 @@ def nearest(
     queries: DataFrame | None = None,
     k: int = 10,
     every: int = 100,
-    tables: int = 16,
-    width: int = 16,
+    tables: int = 20,
+    width: int = 13,
     cell: float = 0.5,
     slots: int = 2,
-    reach: float = 0.22,
+    reach: float = 0.2,
     seed: int = 3,
     slab_rows: int = 16_384,
     slab_pairs: int = 4_000_000,
