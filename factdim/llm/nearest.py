@@ -3,9 +3,9 @@
 A table hashes a vector to the cell of a grid over a few Gaussian projections.  Neighbours that miss the
 query's own cell lie in cells next to it, so a query visits the cells of a table in the order of their
 estimated success (the squared distance from its projections to the cell) until they hold as many rows as
-it may look at, which grow less than the table does.  The posting lists of the cells, one per slab of rows, meet
+it may look at, which grow less than the table does.  The posting lists of the cells meet
 queries by (table, visited cell) in an equi-join, so that a row of the join is a cell and not a pair; the
-candidates of all tables are merged and ranked by exact distance.
+candidates of all tables are merged, dealt over slabs of rows and ranked by exact distance.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factdim.llm.common import first_by_hash, settle
-from factdim.llm.vectors import dealt, matrix, parts, usable
+from factdim.llm.vectors import matrix, parts, usable
 
 #: Vectors the grid's middle and scale are taken from.  Every row is indexed.
 FIT_ROWS = 16_384
@@ -30,6 +30,9 @@ FIT_ROWS = 16_384
 #: structure, the hardest case, recall fell with the square root.
 GROWTH = 0.75
 
+#: Distinct vectors of which about one posting list of a cell may name all.  More of them deal each list in parts.
+POSTING_ROWS = 1 << 20
+
 
 @dataclass(frozen=True)
 class Grid:
@@ -82,6 +85,12 @@ class Grid:
         return best[np.cumsum(counts[best]) - counts[best] < rows]
 
 
+def _spots(ids: np.ndarray) -> np.ndarray:
+    """A number below 2 ** 31 for each id that deals ids evenly over slabs, however they are numbered."""
+    mixed = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(33)).astype(np.int64)
+
+
 def _fit(found: DataFrame, **shape) -> dict[int, Grid]:
     """A grid for each length of vector, around the medians of the components, as wide as their quartiles."""
     sample = first_by_hash(found, "vec_id", FIT_ROWS)
@@ -100,7 +109,7 @@ def _fit(found: DataFrame, **shape) -> dict[int, Grid]:
 
 
 def _hashed(rows: DataFrame, grids: dict[int, Grid]) -> DataFrame:
-    """The rows with their cell in every table."""
+    """The rows with their cell in every table and their spot."""
 
     def hash_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,12 +121,13 @@ def _hashed(rows: DataFrame, grids: dict[int, Grid]) -> DataFrame:
                         pa.array(np.full(len(group), dim), pa.int32()),
                         pa.array(list(group["embedding"]), pa.list_(pa.float64())),
                         pa.array(list(codes), pa.list_(pa.int64())),
+                        pa.array(_spots(group["vec_id"].to_numpy()), pa.int64()),
                     ],
-                    ["vec_id", "dim", "embedding", "codes"],
+                    ["vec_id", "dim", "embedding", "codes", "spot"],
                 )
 
     return rows.select("vec_id", "dim", "embedding").mapInArrow(
-        hash_rows, "vec_id long, dim int, embedding array<double>, codes array<long>"
+        hash_rows, "vec_id long, dim int, embedding array<double>, codes array<long>, spot long"
     )
 
 
@@ -165,20 +175,42 @@ def candidates(
     distinct = found.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
     grids = _fit(found, **grid)
     index = settle(_hashed(distinct, grids), "hashed-vectors")
-    cells = index.select("vec_id", "dim", F.posexplode("codes").alias("place", "code"))
+    cells = index.select("vec_id", "dim", "spot", F.posexplode("codes").alias("place", "code"))
     probes = settle(_probes(asked, cells, grids, k, reach), "probes")
     looked_at = probes.agg(F.sum("n")).first()[0] or 0
-    slab = dealt("vec_id", max(parts(index.count(), slab_rows), parts(looked_at, slab_pairs)))
-    postings = cells.groupBy("dim", "place", "code", slab.alias("slab")).agg(F.collect_list("vec_id").alias("ids"))
-    met = (
+    rows = index.count()
+    slabs = max(parts(rows, slab_rows), parts(looked_at, slab_pairs))
+    part = (F.col("spot") % parts(rows, POSTING_ROWS)).alias("part")
+    postings = cells.groupBy("dim", "place", "code", part).agg(F.collect_list("vec_id").alias("ids"))
+    named = (
         probes.select("query_id", "dim", "place", F.explode("codes").alias("code"))
         .join(postings, ["dim", "place", "code"])
-        .groupBy("dim", "slab", "query_id")
-        .agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("candidates"))
-        .withColumn("candidates", F.array_remove("candidates", F.col("query_id")))
-        .where(F.size("candidates") > 0)
+        .groupBy("dim", "part", "query_id")
+        .agg(F.flatten(F.collect_list("ids")).alias("ids"))
+    )
+    slab = (F.col("spot") % slabs).alias("slab")
+    return index.select("vec_id", "dim", "embedding", slab), _by_slab(named, slabs)
+
+
+def _by_slab(named: DataFrame, slabs: int) -> DataFrame:
+    """Per query and slab the ids its posting lists name, once each and without its own: dim, slab, query_id, candidates."""
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+        names = ["dim", "slab", "query_id", "candidates"]
+        for batch in batches:
+            for row in range(batch.num_rows):
+                dim, query = batch["dim"][row].as_py(), batch["query_id"][row].as_py()
+                ids = np.unique(batch["ids"][row].values.to_numpy())
+                ids = ids[ids != query]
+                slab = _spots(ids) % slabs
+                met = np.unique(slab)
+                out = ([dim] * len(met), met, [query] * len(met), [ids[slab == s] for s in met])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
+
+    return named.select("dim", "query_id", "ids").mapInArrow(
+        deal, "dim int, slab long, query_id long, candidates array<long>"
     )
-    return index.select("vec_id", "dim", "embedding", slab.alias("slab")), met
 
 
 def nearest(
