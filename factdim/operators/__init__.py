@@ -14,6 +14,7 @@ from .growth import daily_growth, growth_accounting, player_state, retention
 from .matches import (
     avg_kills_per_game,
     bucketed_match_join,
+    hot_match_join,
     match_fact,
     medal_maps,
     most_played_map,
@@ -60,5 +61,6 @@ from .rollups import (
 )
 from .scd import scd2_backfill, scd2_increment
 from .sessions import session_stats, sessionize
+from .visitors import count_visitors, trailing_visitors, visitor_bitmaps
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -86,6 +86,27 @@ def bucketed_match_join(
     )
 
 
+def hot_match_join(
+    details: DataFrame,
+    hot_details: DataFrame,
+    matches: DataFrame,
+    hot_matches: DataFrame,
+    earned: DataFrame,
+    hot_earned: DataFrame,
+) -> DataFrame:
+    """The bucketed join of tables whose hot matches were kept apart (``write_bucketed_hot``), without a shuffle.
+
+    Cold matches join from buckets on the match.  The players of a hot match lie spread over all buckets, in both
+    large tables alike, and the few hot rows of ``matches`` are copied to every task.  Open the tables in
+    ``bucket_join_session``.
+    """
+    named = hot_matches.where(F.col("match_id").isNotNull())
+    crowded = hot_details.hint("merge").join(hot_earned.hint("merge"), ["match_id", "player_gamertag"])
+    hot = crowded.join(checked_broadcast(named), "match_id")
+    cold = bucketed_match_join(details, matches, earned)
+    return cold.unionByName(hot.select(*cold.columns))
+
+
 def avg_kills_per_game(match_details: DataFrame) -> DataFrame:
     """Kills per distinct match of each player, best first."""
     per_player = match_details.groupBy("player_gamertag").agg(

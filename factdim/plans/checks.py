@@ -354,6 +354,7 @@ FROM seen""",
     "actors_scd2_backfill": _SCD,
     "actors_scd2_increment": _SCD,
     "actors_scd2_rerun": _SCD,
+    "actors_history_stored": _SCD,
     "segment_upsert": """
 SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
        CAST(o_totalprice + CASE WHEN o_orderkey % 3 = 0 AND o_orderstatus IN ('F', 'P') THEN 1 ELSE 0 END AS DOUBLE) AS price
@@ -406,6 +407,37 @@ SELECT d.match_id, d.player_gamertag, d.player_total_kills, m.mapid, m.playlist_
        CAST(m.completion_date AS DATE) AS completion_date, e.medal_id
 FROM details d JOIN matches m ON d.match_id = m.match_id
 JOIN earned e ON d.match_id = e.match_id AND d.player_gamertag = e.player_gamertag""",
+    "hot_match_join": f"""
+WITH {MATCH_TABLES},
+numbered AS (
+  SELECT *, row_number() OVER (
+           PARTITION BY CAST(match_id AS BIGINT) % 3 = 0 ORDER BY CAST(match_id AS BIGINT)) AS nth
+  FROM matches),
+one_final AS (
+  SELECT CASE WHEN CAST(match_id AS BIGINT) % 3 = 0 THEN 'final' ELSE match_id END AS match_id,
+         mapid, playlist_id, CAST(completion_date AS DATE) AS completion_date
+  FROM numbered WHERE CAST(match_id AS BIGINT) % 3 <> 0 OR nth = 1)
+SELECT m.match_id, CASE WHEN m.match_id = 'final' THEN d.player_gamertag || '-' || d.match_id
+                        ELSE d.player_gamertag END AS player_gamertag,
+       d.player_total_kills, m.mapid, m.playlist_id, m.completion_date, e.medal_id
+FROM details d JOIN earned e ON d.match_id = e.match_id AND d.player_gamertag = e.player_gamertag
+JOIN one_final m
+  ON m.match_id = CASE WHEN CAST(d.match_id AS BIGINT) % 3 = 0 THEN 'final' ELSE d.match_id END""",
+    "visitors_by_month": f"""
+WITH {SITE}
+SELECT host, CAST(date_trunc('month', day) AS DATE) AS month, count(DISTINCT user_id) AS visitors
+FROM site WHERE user_id IS NOT NULL GROUP BY 1, 2""",
+    "visitors_by_week": f"""
+WITH {SITE}
+SELECT CAST(date_trunc('week', day) AS DATE) AS week, count(DISTINCT user_id) AS visitors
+FROM site WHERE user_id IS NOT NULL AND host IS NOT NULL GROUP BY 1""",
+    "visitors_trailing": f"""
+WITH {SITE},
+span AS (SELECT min(day) AS first, max(day) AS last FROM site),
+days AS (SELECT CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS date FROM span)
+SELECT s.host, d.date, count(DISTINCT s.user_id) AS visitors
+FROM days d JOIN site s ON s.day BETWEEN d.date - 6 AND d.date
+WHERE s.user_id IS NOT NULL GROUP BY 1, 2""",
     "avg_kills_per_game": f"""
 WITH {MATCH_TABLES}
 SELECT player_gamertag, sum(CAST(player_total_kills AS INTEGER)) / count(DISTINCT match_id)

@@ -16,7 +16,15 @@ from pyspark.sql import types as T
 from .. import operators as op
 from ..functions import flat_text
 from ..session import bucket_join_session, configure, scratch_dir
-from ..sinks import compare_layouts, upsert_partitions, write_bucketed, write_period
+from ..sinks import (
+    HistoryTable,
+    compare_layouts,
+    heavy_hitters,
+    upsert_partitions,
+    write_bucketed,
+    write_bucketed_hot,
+    write_period,
+)
 from ..sources.practice import HOSTS, Practice
 from ..sources import decode_web_events, read_web_events
 from ..streaming import (
@@ -136,10 +144,17 @@ def player_state(p: Practice) -> DataFrame:
     return op.player_state(p.player_seasons(), entities=p.players())
 
 
+def _stored(p: Practice, df: DataFrame, label: str, period: str) -> DataFrame:
+    """``df`` written by period and read back, so that a job reads the one stored period it continues."""
+    path = scratch_dir(p.spark, label)
+    write_period(df, path, [period])
+    return p.spark.read.schema(df.schema).parquet(path)
+
+
 @job
 def actors_increment(p: Practice) -> DataFrame:
     films = p.actor_films()
-    before = op.backfill_actors(films, p.last_year - 1)
+    before = _stored(p, op.backfill_actors(films, p.last_year - 1), "actors", "current_year")
     return _films_text(op.cumulate_actors(before, films, p.last_year))
 
 
@@ -168,6 +183,18 @@ def actors_scd2_rerun(p: Practice) -> DataFrame:
     return op.scd2_increment(history, status, p.last_year, last_period=p.last_year)
 
 
+@job
+def actors_history_stored(p: Practice) -> DataFrame:
+    """A stored history loaded three years back, continued year by year, the last year run twice; then read back."""
+    status = op.backfill_actor_status(p.actor_films(), p.last_year)
+    table = HistoryTable(p.spark, scratch_dir(p.spark, "history"))
+    loaded = p.last_year - 3
+    table.load(op.scd2_backfill(status, as_of=loaded), loaded)
+    for year in [*range(loaded + 1, p.last_year + 1), p.last_year]:
+        table.increment(status, year)
+    return table.as_of()
+
+
 # --- site activity ----------------------------------------------------------------------------
 
 _DEVICE_KEYS = ["user_id", "browser_type"]
@@ -178,7 +205,8 @@ def _device_lists(p: Practice) -> DataFrame:
 
 
 def _lists_increment(p: Practice, events: DataFrame, keys: list[str]) -> DataFrame:
-    before = op.backfill_dates(events, keys, p.first_day, p.last_day - DAY)
+    lists = op.backfill_dates(events, keys, p.first_day, p.last_day - DAY)
+    before = _stored(p, lists, "date_lists", "date")
     return _text(op.cumulate_dates(before, events, keys, p.last_day), "activity_datelist")
 
 
@@ -234,7 +262,7 @@ def _monthly(p: Practice, keys: list[str], end: dt.date) -> DataFrame:
 
 
 def _monthly_increment(p: Practice, keys: list[str]) -> DataFrame:
-    before = _monthly(p, keys, p.last_day - DAY)
+    before = _stored(p, _monthly(p, keys, p.last_day - DAY), "months", "month")
     after = op.monthly_array_increment(before, p.site_events(), keys, p.last_day)
     return _text(after, "hit_array", "unique_visitors")
 
@@ -280,6 +308,31 @@ def monthly_array_upsert(p: Practice) -> DataFrame:
     return _text(stored, "hit_array", "unique_visitors")
 
 
+def _visitor_days(p: Practice) -> DataFrame:
+    """The stored visitors per host and day; the last day was loaded twice."""
+    path, days = scratch_dir(p.spark, "visitors"), op.visitor_bitmaps(p.site_events(), ["host"])
+    write_period(days, path, ["date"])
+    write_period(days.where(F.col("date") == p.last_day), path, ["date"])
+    return p.spark.read.schema(days.schema).parquet(path)
+
+
+@job
+def visitors_by_month(p: Practice) -> DataFrame:
+    return op.count_visitors(_visitor_days(p), ["host", F.trunc("date", "month").alias("month")])
+
+
+@job
+def visitors_by_week(p: Practice) -> DataFrame:
+    """Over all hosts."""
+    return op.count_visitors(_visitor_days(p), [F.trunc("date", "week").alias("week")])
+
+
+@job
+def visitors_trailing(p: Practice) -> DataFrame:
+    """Of the seven days up to each day, per host."""
+    return op.trailing_visitors(_visitor_days(p), 7, ["host"])
+
+
 @job
 def segment_upsert(p: Practice) -> DataFrame:
     """Orders by status, stored without a partition name for 'P'; two partitions, one NULL, updated twice."""
@@ -320,6 +373,26 @@ def bucketed_match_join(p: Practice) -> DataFrame:
     return op.bucketed_match_join(*[reader.table(f"{name}_{suffix}") for name in tables])
 
 
+@job
+def hot_match_join(p: Practice) -> DataFrame:
+    """The bucketed join with one match that holds a third of the rows."""
+    folder = scratch_dir(p.spark, "hot_buckets")
+    suffix = folder.rsplit("-", 1)[1]
+    tables = {
+        "details": p.crowded(p.match_details()),
+        "matches": p.crowded(p.matches().withColumn("completion_date", F.to_date("completion_date"))),
+        "earned": p.crowded(p.medals_matches_players()),
+    }
+    hot = sorted({m for name in ("details", "earned") for m in heavy_hitters(tables[name], "match_id")})
+    reader, parts = bucket_join_session(p.spark), []
+    for name, df in tables.items():
+        spread = [c for c in df.columns if c == "player_gamertag"]
+        stored = f"{name}_{suffix}"
+        write_bucketed_hot(df, stored, 16, "match_id", hot, spread, f"{folder}/{name}")
+        parts += [reader.table(f"{stored}_cold"), reader.table(f"{stored}_hot")]
+    return op.hot_match_join(*parts)
+
+
 @job
 def avg_kills_per_game(p: Practice) -> DataFrame:
     return op.avg_kills_per_game(p.match_details())

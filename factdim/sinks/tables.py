@@ -85,25 +85,26 @@ def write_bucketed(
     df: DataFrame,
     table: str,
     buckets: int,
-    key: str,
+    key: str | Sequence[str],
     path: str | None = None,
     sort: bool = False,
     files_per_bucket: int = 1,
 ) -> DataFrame:
-    """Save ``df`` as a table bucketed on ``key`` and return the stored table.
+    """Save ``df`` as a table bucketed on ``key`` (a column or several) and return the stored table.
 
     Rows are placed by the bucket key first, so each bucket is one file and not one per task.  With
     more ``files_per_bucket`` the rows of a key are also spread by their content, so that the rows
     of a hot key are written by several tasks.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if files_per_bucket == 1:
-        placed = df.repartition(buckets, key)
+        placed = df.repartition(buckets, *keys)
     else:
         spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
-        placed = df.repartition(buckets * files_per_bucket, F.col(key), spread)
-    writer = placed.write.mode("overwrite").format("parquet").bucketBy(buckets, key)
+        placed = df.repartition(buckets * files_per_bucket, *keys, spread)
+    writer = placed.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys)
     if sort:
-        writer = writer.sortBy(key)
+        writer = writer.sortBy(*keys)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

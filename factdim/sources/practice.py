@@ -208,6 +208,21 @@ class Practice:
             F.col("l_partkey").cast("string").alias("medal_id"),
         )
 
+    def crowded(self, table: DataFrame) -> DataFrame:
+        """A table with matches in which every third match is part of the match 'final', whose players keep apart.
+
+        Of the rows of ``matches`` that would be one the first stays.
+        """
+        number = F.col("match_id").cast("bigint")
+        final = number % 3 == 0
+        if "player_gamertag" in table.columns:
+            player = F.concat("player_gamertag", F.lit("-"), "match_id")
+            table = table.withColumn("player_gamertag", F.when(final, player).otherwise(F.col("player_gamertag")))
+        else:
+            first = table.where(final).select(F.min(number)).scalar()
+            table = table.where(~final | (number == first))
+        return table.withColumn("match_id", F.when(final, "final").otherwise(F.col("match_id")))
+
     def medals(self) -> DataFrame:
         return self.table("part").select(
             F.col("p_partkey").cast("string").alias("medal_id"),

@@ -11,7 +11,7 @@ from factdim.sources.practice import Practice
 from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
-WRITES = {"monthly_array_upsert", "bucketed_match_join", "layout_experiment", "sessions_stream"}
+WRITES = {"monthly_array_upsert", "bucketed_match_join", "hot_match_join", "actors_history_stored", "layout_experiment", "sessions_stream"}
 
 
 @pytest.fixture(scope="module")
