@@ -469,10 +469,10 @@ def sessions_upsert(p: Practice) -> DataFrame:
     arriving = p.web_events(p.table("events").withColumn("slice", p.day_slice(SLICES)), "slice")
     for number in range(SLICES):
         arriving.filter(F.col("slice") == number).drop("slice").write.json(f"{base}/in/slice={number}")
-        events = read_web_events(p.spark, f"{base}/in", streaming=True)
-        query = start_session_stream(sessionize_stream(events), table, f"{base}/state", available_now=True)
+        closing = sessionize_stream(read_web_events(p.spark, f"{base}/in", streaming=True))
+        query = start_session_stream(closing, table, f"{base}/state", available_now=True)
         query.awaitTermination()
-    return _no_zone(table.current(), "session_start", "session_end")
+    return _no_zone(table.current(closing.schema), "session_start", "session_end")
 
 
 @job

@@ -135,8 +135,11 @@ class KeyedTable:
         newest = F.max_by(F.struct("_batch", *values), "_batch").alias("_newest")
         return rows.groupBy("day", *self.keys).agg(newest).select("day", *self.keys, "_newest.*")
 
-    def current(self) -> DataFrame | None:
-        """One row per key as the manifest stands now; None for a table without rows."""
+    def current(self, schema: T.StructType | None = None) -> DataFrame | None:
+        """One row per key as the manifest stands now, with the columns of ``schema`` if given.
+
+        A table without rows has no files that tell its columns: it gives no rows of ``schema``, or None without one.
+        """
         days = self.live().groupBy("day").agg(F.collect_list("place").alias("places")).collect()
         settled = [p for r in days if len(r.places) == 1 for p in r.places]
         crowded = [p for r in days if len(r.places) > 1 for p in r.places]
@@ -146,6 +149,6 @@ class KeyedTable:
         if crowded:
             parts.append(self._newest(self._rows(crowded)))
         if not parts:
-            return None
+            return None if schema is None else self.spark.createDataFrame([], schema)
         found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return found.drop("day", "_batch")
+        return found.drop("day", "_batch") if schema is None else found.select(*schema.fieldNames())

@@ -6,6 +6,7 @@ import pytest
 from helpers import rows
 
 from factdim.operators import sessionize
+from factdim.plans.jobs import JOBS
 from factdim.sources import read_web_events
 from factdim.streaming import (
     KeyedTable,
@@ -226,3 +227,13 @@ def test_intake_stream_restarts(spark, tmp_path):
         start_intake(lines, target, str(tmp_path / "state"), available_now=True).awaitTermination()
     counted = accounts(spark, target).orderBy("batch_id").collect()
     assert [(r.accepted, r.late, r.rejected) for r in counted] == [(2, 0, 0), (2, 0, 0), (1, 1, 0)]
+
+
+def test_sessions_upsert_with_every_session_open_gives_no_rows(spark, tmp_path):
+    """Events of five days less than a gap apart: no session is closed, so the table stays without rows."""
+    spark.sql(
+        "SELECT id AS event_id, timestamp_seconds(1704067200 + id * 200) AS ts, 30L AS user_id, 'view' AS event_type FROM range(2100)"
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    upserted, stored = (JOBS[name](spark, str(tmp_path)) for name in ("sessions_upsert", "sessions"))
+    assert [(f.name, f.dataType) for f in upserted.schema] == [(f.name, f.dataType) for f in stored.schema]
+    assert upserted.collect() == [] and stored.count() == 1
