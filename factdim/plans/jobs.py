@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from .. import operators as op
 from ..functions import flat_text
-from ..session import bucket_join_session, configure, scratch_dir
+from ..session import bucket_join_session, configure, scratch_dir, small_task_session
 from ..sinks import (
     HistoryTable,
     compare_layouts,
@@ -51,17 +52,23 @@ LAYOUTS = {
 }
 
 
-def job(function: Callable[[Practice], DataFrame]) -> Callable[[Practice], DataFrame]:
-    """Register ``function`` under its name."""
+def job(
+    function: Callable[[Practice], DataFrame], session: Callable[[SparkSession], SparkSession] = configure
+) -> Callable[[Practice], DataFrame]:
+    """Register ``function`` under its name; it gets its tables in ``session``."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return function(Practice(configure(spark), folder))
+        return function(Practice(session(spark), folder))
 
     run.__doc__ = function.__doc__
     JOBS[function.__name__] = run
     return function
 
 
+# for jobs that sort a whole table of narrow rows
+small_task_job = partial(job, session=small_task_session)
+
+
 def _text(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: flat_text(F.col(c)) for c in columns})
 
@@ -78,7 +85,7 @@ def _no_zone(df: DataFrame, *columns: str) -> DataFrame:
 # --- deduplication and games ------------------------------------------------------------------
 
 
-@job
+@small_task_job
 def dedup_games(p: Practice) -> DataFrame:
     return op.dedup(p.game_details(), ["game_id", "team_id", "player_id"])
 
@@ -114,7 +121,7 @@ def top_team_wins(p: Practice) -> DataFrame:
     return op.top_team_wins(p.game_details(two_teams=True))
 
 
-@job
+@small_task_job
 def max_wins_in_stretch(p: Practice) -> DataFrame:
     return op.max_wins_in_stretch(p.game_details(two_teams=True), 90, slots=GAMES_PER_SLOT, block_rows=GAMES_PER_SLOT)
 
@@ -126,12 +133,12 @@ def _streaks(p: Practice, games: DataFrame) -> DataFrame:
     return op.longest_streak(one_row_per_game, F.col("pts") > 10, slots=GAMES_PER_SLOT)
 
 
-@job
+@small_task_job
 def longest_streak_all_players(p: Practice) -> DataFrame:
     return _streaks(p, p.game_details())
 
 
-@job
+@small_task_job
 def longest_streak_one_player(p: Practice) -> DataFrame:
     return _streaks(p, p.game_details().filter(F.col("player_name") == "Player#7"))
 

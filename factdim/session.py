@@ -21,6 +21,10 @@ RUNTIME_CONF = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+#: Bytes of a file, and of a shuffle, that a task takes where whole tables of narrow rows are sorted, and the
+#: number of shuffle partitions to begin with at least; adaptive execution merges those that stay small.
+SMALL_SPLIT, SMALL_PARTITION, LEAST_PARTITIONS = "32m", "16m", 200
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -58,6 +62,21 @@ def bucket_join_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
+def small_task_session(spark: SparkSession) -> SparkSession:
+    """A sibling session (same tables) whose tasks take few rows, for jobs that sort whole tables of narrow rows.
+
+    A row of some numbers and a short name takes about 12 bytes of a file or shuffle, but over 100 of a sort: by
+    Spark's defaults (128 MB of a file, 64 MB of a shuffle) a task would sort up to ten million of them.
+    """
+    sibling = configure(spark.newSession())
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    sibling.conf.set("spark.sql.shuffle.partitions", partitions)
+    sibling.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(LEAST_PARTITIONS, int(partitions))))
+    sibling.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", SMALL_PARTITION)
+    sibling.conf.set("spark.sql.files.maxPartitionBytes", SMALL_SPLIT)
+    return sibling
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named in ``spark.checkpoint.dir``.
 

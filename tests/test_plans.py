@@ -125,3 +125,14 @@ def test_large_dimension_joins_by_shuffle_with_the_same_rows(practice, monkeypat
         assert [sorted(map(str, df.collect())) for df in large] == small
     finally:
         practice.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("name", ["dedup_games", "max_wins_in_stretch", "longest_streak_all_players", "longest_streak_one_player"])
+def test_sorts_of_narrow_rows_get_small_tasks(spark, name):
+    """Split sizes and partitions of these jobs do not follow the session, which keeps its own."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    df = JOBS[name](spark, FOLDER)
+    assert {int(n) for n in re.findall(r"hashpartitioning\(.*, (\d+)\)", executed_plan(df))} == {200}
+    assert df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+    assert df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    assert {k: spark.conf.get(k) for k in before} == before and spark.conf.get("spark.sql.shuffle.partitions") == "8"
