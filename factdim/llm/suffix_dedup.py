@@ -339,8 +339,8 @@ def remove_repeats(
     # rows without an id take no part, so any group will do
     anywhere = F.pmod(F.xxhash64("text"), F.lit(groups))
     carried = texts.withColumn("grp", F.when(F.col("doc_id").isNull(), anywhere).otherwise(group_of))
-    grouped = carried.drop("about")
-    meet = lambda notes: grouped.groupBy("grp").cogroup(notes.groupBy("grp"))
+    # every step takes the rows as they are, so that one shuffle of the texts serves them all
+    meet = lambda notes: carried.groupBy("grp").cogroup(notes.groupBy("grp"))
     anchors = meet(copied).applyInArrow(_send_anchors(length, groups), NOTE)
     hot = anchors.groupBy("key").applyInArrow(_find_hot, NOTE)
     snippets = meet(copied.unionByName(hot)).applyInArrow(_send_snippets(length, groups), NOTE)
@@ -349,4 +349,4 @@ def remove_repeats(
     result = StructType.fromDDL(RESULT)
     if carry:
         result = result.add(texts.schema["about"])
-    return carried.groupBy("grp").cogroup(notes.groupBy("grp")).applyInArrow(_cut(length, characters), result)
+    return meet(notes).applyInArrow(_cut(length, characters), result)

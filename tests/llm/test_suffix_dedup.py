@@ -5,6 +5,7 @@ import numpy as np
 
 from factdim.llm.suffix_array import common_prefixes, two_stage_order
 from factdim.llm.suffix_dedup import remove_repeats, whole_characters
+from factdim.plans.inspect import executed_plan
 
 
 def brute(rows, length):
@@ -82,3 +83,13 @@ def test_whole_characters():
 
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_texts_are_shuffled_once(spark):
+    """Columns that come along share the shuffle of the texts with all three steps that read them."""
+    docs = [(i, f"{i} " + "passage that comes again " * 4, f"s{i}") for i in range(9)]
+    for carry in ([], ["source"]):
+        found = remove_repeats(spark.createDataFrame(docs, "doc_id long, text string, source string"), carry=carry)
+        assert sorted((r.doc_id, r.n_spans) for r in found.collect()) == [(i, int(i > 0)) for i in range(9)]
+        ran = executed_plan(found).split("Initial Plan")[0]  # what ran, after adaptive changes
+        assert ran.count("ReusedExchange") == 2, ran
